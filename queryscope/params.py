@@ -11,6 +11,8 @@ AS_OF_ETL = _dt.date(2024, 1, 16)     # nightly ETL: processes 2024-01-15
 REPORT_START = _dt.date(2024, 1, 5)
 REPORT_END = _dt.date(2024, 1, 25)
 ETL_PROCESSED_AT = _dt.datetime(2024, 1, 16, 2, 0, 0)
+RETENTION_AS_OF = _dt.date(2024, 2, 28)   # 3-month raw horizon: keeps >= 2023-11-28
+RETENTION_CUTOFF = _dt.date(2023, 11, 28)
 
 
 def minus(d: _dt.date, days: int) -> _dt.date:

@@ -8,10 +8,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from queryscope.functions import vocab as V
+from queryscope.operators import etl, quality
 from queryscope.operators import metrics as C
-from queryscope.params import AS_OF_30D
+from queryscope.params import AS_OF_30D, AS_OF_ETL, ETL_PROCESSED_AT, RETENTION_AS_OF
+from queryscope.plans import nightly
+from queryscope.session import shared_path
 from queryscope.sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,3 +57,106 @@ def _c4(spark, sf):
 @register("daily_refinement_rate")
 def _c5(spark, sf):
     return C.daily_refinement_rate(fx.canonical_events(spark, sf))
+
+
+# ---------------------------------------------------------------- A1, A6, B1–B7, D1–D3
+
+def _etl_day(spark, sf, dups: bool = False):
+    flat = fx.events_with_duplicates(spark, sf) if dups else fx.search_events(spark, sf)
+    return fx.raw_ga4_events(spark, sf, flat)
+
+
+def _backfill_fact(spark, sf):
+    """Curated fact over every day of the input (data_date = event day)."""
+    raw = _etl_day(spark, sf, dups=True)
+    _, cat = nightly.build_fact_input(raw, None, ETL_PROCESSED_AT)
+    return etl.to_fact(cat, None)
+
+
+@register("scan_daily_shard")
+def _a1(spark, sf):
+    shard = etl.scan_daily_shard(_etl_day(spark, sf), AS_OF_ETL)
+    return shard.select("event_date", "event_timestamp", "event_name", "user_pseudo_id",
+                        F.size("event_params").alias("n_params"),
+                        F.col("geo.country").alias("country_code"),
+                        F.col("device.category").alias("device_category"),
+                        F.col("traffic_source.source").alias("traffic_source"))
+
+
+@register("flatten_event_params")
+def _b1(spark, sf):
+    return etl.flatten_event_params(etl.scan_daily_shard(_etl_day(spark, sf), AS_OF_ETL))
+
+
+@register("dedupe_events")
+def _b2(spark, sf):
+    raw = _etl_day(spark, sf, dups=True)
+    return etl.dedupe_events(etl.flatten_event_params(etl.scan_daily_shard(raw, AS_OF_ETL)))
+
+
+@register("categorize_events")
+def _b3(spark, sf):
+    _, cat = nightly.build_fact_input(_etl_day(spark, sf, dups=True), AS_OF_ETL, ETL_PROCESSED_AT)
+    return cat
+
+
+@register("fact_roundtrip")
+def _a6(spark, sf):
+    path = shared_path(spark, "search_events_fact")
+    _, cat = nightly.build_fact_input(_etl_day(spark, sf, dups=True), AS_OF_ETL, ETL_PROCESSED_AT)
+    etl.incremental_load(cat, path, AS_OF_ETL)
+    return etl.read_fact(spark, path)
+
+
+@register("incremental_load")
+def _b4(spark, sf):
+    """Load day 1, day 2, then day 1 again: the table must hold each day once."""
+    path = shared_path(spark, "search_events_fact")
+    raw = _etl_day(spark, sf, dups=True)
+    day2 = AS_OF_ETL + _dt.timedelta(days=1)
+    for as_of in (AS_OF_ETL, day2, AS_OF_ETL):
+        stamp = _dt.datetime.combine(as_of, ETL_PROCESSED_AT.time())
+        _, cat = nightly.build_fact_input(raw, as_of, stamp)
+        etl.incremental_load(cat, path, as_of)
+    return etl.read_fact(spark, path)
+
+
+@register("retention_filter")
+def _b5(spark, sf):
+    return etl.retention_filter(fx.monthly_events(spark, sf), RETENTION_AS_OF,
+                                months=V.RETENTION_RAW_MONTHS, date_col="event_date")
+
+
+@register("search_order_attribution")
+def _b6(spark, sf):
+    return etl.search_order_attribution(_backfill_fact(spark, sf), fx.orders(spark, sf))
+
+
+@register("search_metrics_daily")
+def _b7(spark, sf):
+    return etl.search_metrics_daily(
+        etl.search_order_attribution(_backfill_fact(spark, sf), fx.orders(spark, sf)))
+
+
+@register("revenue_dedup")
+def _b7b(spark, sf):
+    return etl.revenue_dedup(
+        etl.search_order_attribution(_backfill_fact(spark, sf), fx.orders(spark, sf)))
+
+
+@register("dq_duplicates")
+def _d1(spark, sf):
+    # Checked on the flattened input before dedupe, where duplicates exist.
+    return quality.dq_duplicates(etl.flatten_event_params(_etl_day(spark, sf, dups=True)))
+
+
+@register("dq_record_count")
+def _d2(spark, sf):
+    raw = _etl_day(spark, sf, dups=True)
+    flat, _ = nightly.build_fact_input(raw, None, ETL_PROCESSED_AT)
+    return quality.dq_record_count(_backfill_fact(spark, sf), flat)
+
+
+@register("dq_nulls")
+def _d3(spark, sf):
+    return quality.dq_nulls(etl.flatten_event_params(_etl_day(spark, sf)))
