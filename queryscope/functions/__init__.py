@@ -13,6 +13,7 @@ from queryscope.functions.exprs import (  # noqa: F401
     is_event,
     norm_term,
     pct2,
+    pct_text,
     ratio0,
     region_of,
     safe_ratio,

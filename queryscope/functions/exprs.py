@@ -132,3 +132,14 @@ def round2_money_avg(total: ColumnOrName, n: ColumnOrName) -> Column:
 def money_avg(total: ColumnOrName, n: ColumnOrName) -> Column:
     """Average of money: exact DECIMAL total divided by count, as DOUBLE."""
     return F.try_divide(_c(total).cast("double"), _c(n).cast("double"))
+
+
+def pct_text(a: ColumnOrName, b: ColumnOrName, decimals: int = 1) -> Column:
+    """``a / b`` as a percent string with ``decimals`` places, HALF_UP on the
+    exact ratio (integer arithmetic, so every engine prints the same text).
+    An undefined ratio prints as 0 (DAX ``DIVIDE(a, b, 0)``).
+    """
+    scale = 10 ** decimals
+    q = F.coalesce(div_half_up(_c(a).cast("bigint") * (100 * scale), b), F.lit(0).cast("bigint"))
+    whole = ((q - q % scale) / scale).cast("bigint")
+    return F.format_string(f"%d.%0{decimals}d%%", whole, q % scale)

@@ -14,10 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from queryscope.functions import vocab as V
-from queryscope.operators import etl, quality
+from queryscope.operators import engagement as E
+from queryscope.operators import etl, impute, quality
+from queryscope.operators import measures as M
 from queryscope.operators import metrics as C
-from queryscope.params import AS_OF_30D, AS_OF_ETL, ETL_PROCESSED_AT, RETENTION_AS_OF
-from queryscope.plans import nightly
+from queryscope.operators import zero as Z
+from queryscope.params import (AS_OF_30D, AS_OF_ETL, ETL_PROCESSED_AT, REPORT_END, REPORT_START,
+                               RETENTION_AS_OF)
+from queryscope.plans import marts, nightly
 from queryscope.session import shared_path
 from queryscope.sources import fixtures as fx
 
@@ -160,3 +164,230 @@ def _d2(spark, sf):
 @register("dq_nulls")
 def _d3(spark, sf):
     return quality.dq_nulls(etl.flatten_event_params(_etl_day(spark, sf)))
+
+
+# ---------------------------------------------------------------- I1–I4, D4–D7
+
+@register("regional_product_avg")
+def _i1(spark, sf):
+    return impute.regional_product_avg(fx.sales(spark, sf))
+
+
+@register("impute_sales")
+def _i2(spark, sf):
+    return impute.impute_sales(fx.sales(spark, sf))
+
+
+@register("regional_sales_clean")
+def _i3(spark, sf):
+    return impute.regional_sales_clean(fx.sales(spark, sf))
+
+
+@register("total_sales_cleaned")
+def _i4(spark, sf):
+    return impute.total_sales_cleaned(impute.regional_sales_clean(fx.sales(spark, sf)), ["region"])
+
+
+@register("imputation_summary")
+def _d4(spark, sf):
+    return quality.imputation_summary(impute.impute_sales(fx.sales(spark, sf), keep_original=True))
+
+
+@register("sales_quality")
+def _d5(spark, sf):
+    return M.sales_quality(fx.sales(spark, sf), ["region"])
+
+
+# ---------------------------------------------------------------- A2, A4, E1–E7
+
+def _loaded(spark, sf):
+    return E.load_search_events(fx.canonical_events(spark, sf), REPORT_START, REPORT_END)
+
+
+@register("load_search_events")
+def _a2(spark, sf):
+    return _loaded(spark, sf)
+
+
+@register("ordering_users")
+def _a4(spark, sf):
+    return E.ordering_users(fx.orders(spark, sf), REPORT_START, REPORT_END)
+
+
+@register("engagement_daily")
+def _e1(spark, sf):
+    return E.engagement_daily(_loaded(spark, sf))
+
+
+@register("click_position_analysis")
+def _e4(spark, sf):
+    return E.click_position_analysis(_loaded(spark, sf))
+
+
+@register("search_to_conversion")
+def _e5(spark, sf):
+    return E.search_to_conversion(_loaded(spark, sf),
+                                  E.ordering_users(fx.orders(spark, sf), REPORT_START, REPORT_END))
+
+
+@register("engagement_summary")
+def _e6(spark, sf):
+    return E.engagement_summary(E.engagement_daily(_loaded(spark, sf)))
+
+
+@register("click_positions_head")
+def _e7(spark, sf):
+    return E.click_positions_head(E.click_position_analysis(_loaded(spark, sf)))
+
+
+# ---------------------------------------------------------------- A3, Z1, Z4–Z8
+
+def _zero(spark, sf):
+    return Z.load_zero_result_searches(fx.canonical_events(spark, sf), REPORT_START, REPORT_END)
+
+
+@register("load_zero_result_searches")
+def _a3(spark, sf):
+    return _zero(spark, sf)
+
+
+@register("top_zero_result_terms")
+def _z1(spark, sf):
+    return Z.top_zero_result_terms(_zero(spark, sf))
+
+
+@register("zero_results_by_region")
+def _z4(spark, sf):
+    return Z.zero_results_by_region(_zero(spark, sf))
+
+
+@register("categorize_zero_results")
+def _z5(spark, sf):
+    return Z.categorize_zero_results(_zero(spark, sf))
+
+
+@register("zero_result_trend")
+def _z6(spark, sf):
+    return Z.zero_result_trend(fx.canonical_events(spark, sf), REPORT_START, REPORT_END)
+
+
+@register("content_gap_summary")
+def _z7(spark, sf):
+    ev = fx.canonical_events(spark, sf)
+    return Z.content_gap_summary(_zero(spark, sf), Z.zero_result_trend(ev, REPORT_START, REPORT_END))
+
+
+@register("content_gap_preview")
+def _z8(spark, sf):
+    return Z.content_gap_preview(Z.top_zero_result_terms(_zero(spark, sf)))
+
+
+# ---------------------------------------------------------------- M1–M38
+
+@register("kpi_by_region")
+def _m1(spark, sf):
+    return M.measures(fx.canonical_events(spark, sf), ["region"],
+                      ["total_searches", "total_clicks", "engagement_rate",
+                       "unique_search_users", "avg_results_returned"])
+
+
+@register("kpi_formatted")
+def _m4(spark, sf):
+    ev = fx.canonical_events(spark, sf)
+    fmt = M.measures(ev, ["region"], ["engagement_rate_pct", "refinement_rate_pct", "zero_result_rate_pct"])
+    conv = M.search_conversion_rate(ev, fx.orders(spark, sf), ["region"]).select(
+        F.col("region").alias("_cregion"), "search_conversion_pct")
+    j = fmt.join(conv, fmt["region"].eqNullSafe(conv["_cregion"]), "left")
+    return j.select("region", "engagement_rate_pct", "refinement_rate_pct", "zero_result_rate_pct",
+                    F.coalesce("search_conversion_pct", F.lit("0.0%")).alias("search_conversion_pct"))
+
+
+@register("kpi_refinement")
+def _m7(spark, sf):
+    return M.measures(fx.canonical_events(spark, sf), ["event_date"],
+                      ["total_refinements", "refinement_rate"])
+
+
+@register("kpi_zero_results")
+def _m10(spark, sf):
+    return M.measures(fx.canonical_events(spark, sf), ["device_category"],
+                      ["zero_result_searches", "zero_result_rate", "unique_zero_result_terms"])
+
+
+@register("searched_users")
+def _m14(spark, sf):
+    return M.searched_users(fx.canonical_events(spark, sf))
+
+
+@register("converted_users")
+def _m15(spark, sf):
+    return M.converted_users(fx.orders(spark, sf), fx.canonical_events(spark, sf))
+
+
+@register("search_conversion_rate")
+def _m16(spark, sf):
+    return M.search_conversion_rate(fx.canonical_events(spark, sf), fx.orders(spark, sf))
+
+
+@register("clicks_at_position")
+def _m18(spark, sf):
+    return M.clicks_at_position(fx.canonical_events(spark, sf))
+
+
+@register("kpi_clicks")
+def _m19(spark, sf):
+    return M.measures(fx.canonical_events(spark, sf), ["device_category"],
+                      ["total_clicks", "top3_click_rate", "avg_click_position"])
+
+
+@register("regional_search_volume")
+def _m22(spark, sf):
+    return M.regional_search_volume(fx.canonical_events(spark, sf), ["region", "device_category"])
+
+
+@register("sales_per_search")
+def _m23(spark, sf):
+    return M.sales_per_search(impute.regional_sales_clean(fx.sales(spark, sf)),
+                              fx.canonical_events(spark, sf))
+
+
+@register("engagement_mom")
+def _m24(spark, sf):
+    return M.engagement_mom(fx.monthly_events(spark, sf))
+
+
+@register("searches_mom")
+def _m27(spark, sf):
+    return M.searches_mom(fx.monthly_events(spark, sf))
+
+
+@register("kpi_bands")
+def _m31(spark, sf):
+    return M.measures(fx.canonical_events(spark, sf), ["region"],
+                      ["engagement_rate", "engagement_rate_color", "zero_result_rate", "zero_result_rate_color"])
+
+
+@register("search_success_rate")
+def _m33(spark, sf):
+    return M.measures(fx.canonical_events(spark, sf), ["device_category"],
+                      ["sessions_with_clicks", "search_sessions", "search_success_rate"])
+
+
+@register("multi_search_sessions")
+def _m35(spark, sf):
+    return M.multi_search_sessions(fx.canonical_events(spark, sf), ["event_date"])
+
+
+@register("mart_executive")
+def _m36(spark, sf):
+    return marts.executive_mart(fx.canonical_events(spark, sf), fx.orders(spark, sf))
+
+
+@register("mart_behavior")
+def _m37(spark, sf):
+    return marts.behavior_mart(fx.canonical_events(spark, sf), _zero(spark, sf))["click_distribution"]
+
+
+@register("mart_regional")
+def _m38(spark, sf):
+    return marts.regional_mart(fx.canonical_events(spark, sf), fx.sales(spark, sf))
