@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from queryscope.functions import vocab as V
 from queryscope.operators import engagement as E
-from queryscope.operators import etl, impute, quality
+from queryscope.operators import etl, impute, quality, typos
 from queryscope.operators import measures as M
 from queryscope.operators import metrics as C
 from queryscope.operators import zero as Z
@@ -391,3 +391,19 @@ def _m37(spark, sf):
 @register("mart_regional")
 def _m38(spark, sf):
     return marts.regional_mart(fx.canonical_events(spark, sf), fx.sales(spark, sf))
+
+
+# ---------------------------------------------------------------- Z2, Z3
+
+@register("detect_typos")
+def _z2(spark, sf):
+    ev = fx.canonical_events(spark, sf)
+    return typos.detect_typos(Z.load_zero_result_searches(ev, REPORT_START, REPORT_END),
+                              Z.successful_searches(ev, REPORT_START, REPORT_END))
+
+
+@register("detect_typos_levenshtein")
+def _z3(spark, sf):
+    ev = fx.canonical_events(spark, sf)
+    return typos.detect_typos_levenshtein(Z.load_zero_result_searches(ev, REPORT_START, REPORT_END),
+                                          Z.successful_searches(ev, REPORT_START, REPORT_END))
