@@ -156,16 +156,20 @@ def create_fact_table(spark: SparkSession, path: str, name: str = "search_events
               f"PARTITIONED BY (data_date) LOCATION '{path}'")
 
 
-def incremental_load(categorized: DataFrame, path: str, as_of: _dt.date) -> None:
+def incremental_load(categorized: DataFrame, path: str, as_of: _dt.date,
+                     max_records_per_file: int = 5_000_000) -> None:
     """Write one ``data_date`` partition, replacing only that partition.
 
     Dynamic partition overwrite makes a rerun idempotent (the reference
-    appends, so a rerun doubles the day).  Output files are clustered by
-    ``data_date`` so each task writes one partition directory.
+    appends, so a rerun doubles the day).  The day is written straight from
+    the upstream partitions (no repartition by ``data_date``, which would
+    funnel a whole day through one task); ``max_records_per_file`` bounds
+    the file size.
     """
     fact = to_fact(categorized, as_of)
-    (fact.repartition("data_date").write.mode("overwrite")
+    (fact.write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic")
+         .option("maxRecordsPerFile", max_records_per_file)
          .partitionBy("data_date").parquet(path))
 
 
