@@ -29,10 +29,17 @@ def dq_duplicates(fact: DataFrame) -> DataFrame:
     )
 
 
-def dq_record_count(fact: DataFrame, source: DataFrame,
+def dq_record_count(fact: DataFrame, source: DataFrame | int,
                     tolerance: int = V.RECORD_COUNT_TOLERANCE) -> DataFrame:
-    """Curated rows vs source rows, PASS when |difference| < tolerance."""
-    src = source.select(F.count(F.lit(1))).scalar()
+    """Curated rows vs source rows, PASS when |difference| < tolerance.
+
+    ``source`` is the source DataFrame (counted by a scalar subquery) or a
+    count already observed while the source was processed.
+    """
+    if isinstance(source, int):
+        src = F.lit(source).cast("bigint")
+    else:
+        src = source.select(F.count(F.lit(1))).scalar()
     n = F.count(F.lit(1))
     return fact.agg(
         F.lit("Record Count Check").alias("check_name"),

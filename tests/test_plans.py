@@ -18,7 +18,7 @@ def test_no_cartesian_or_row_udf(spark, key):
     for bad in FORBIDDEN:
         assert bad not in p, f"{key}: {bad}"
     if key != "detect_typos":
-        assert "ArrowEvalPython" not in p
+        assert "ArrowEvalPython" not in p and "MapInPandas" not in p
 
 
 def test_scan_prunes_columns_and_pushes_filters(spark):
