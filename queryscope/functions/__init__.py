@@ -8,8 +8,6 @@ from queryscope.functions.exprs import (  # noqa: F401
     round2_money_avg,
     date_minus_days,
     epoch_micros,
-    fmt_pct1,
-    fmt_pct2,
     is_event,
     norm_term,
     pct2,

@@ -23,15 +23,10 @@ def _c(c: ColumnOrName) -> Column:
 def pct2(n: ColumnOrName, d: ColumnOrName) -> Column:
     """``ROUND(100 * n / d, 2)`` with exact HALF_UP rounding, as DOUBLE.
 
-    Integer arithmetic only: ``(n*20000 + d) div (2*d) / 100``; the quotient
-    is taken as ``(x - x % y) / y`` which is exact for non-negative bigints.
+    Integer arithmetic only: ``(n*20000 + d) div (2*d) / 100``.
     ``d = 0`` or NULL gives NULL.
     """
-    n = _c(n).cast("bigint")
-    d = F.nullif(_c(d).cast("bigint"), F.lit(0).cast("bigint"))
-    num = n * 20000 + d
-    den = d * 2
-    return ((num - num % den) / den) / 100.0
+    return div_half_up(_c(n).cast("bigint") * 10000, d) / 100.0
 
 
 def safe_ratio(a: ColumnOrName, b: ColumnOrName) -> Column:
@@ -44,16 +39,6 @@ def ratio0(a: ColumnOrName, b: ColumnOrName) -> Column:
     return F.coalesce(safe_ratio(a, b), F.lit(0.0))
 
 
-def fmt_pct1(rate: ColumnOrName) -> Column:
-    """DAX ``FORMAT(x, "0.0%")``."""
-    return F.format_string("%.1f%%", _c(rate) * 100.0)
-
-
-def fmt_pct2(rate: ColumnOrName) -> Column:
-    """Python ``f"{x * 100:.2f}%"``."""
-    return F.format_string("%.2f%%", _c(rate) * 100.0)
-
-
 def is_event(name: str, col: ColumnOrName = "event_name") -> Column:
     return _c(col) == F.lit(name)
 
@@ -109,7 +94,8 @@ def norm_term(term: ColumnOrName) -> Column:
 def div_half_up(num: ColumnOrName, den: ColumnOrName) -> Column:
     """Integer ``num / den`` rounded HALF_UP (both non-negative) as BIGINT.
 
-    ``den = 0`` or NULL gives NULL.
+    The quotient is taken as ``(x - x % y) / y``, exact for bigints below
+    2^53.  ``den = 0`` or NULL gives NULL.
     """
     num = _c(num).cast("bigint")
     den = F.nullif(_c(den).cast("bigint"), F.lit(0).cast("bigint"))

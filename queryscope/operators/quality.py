@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from queryscope.functions import vocab as V
-from queryscope.functions.exprs import money_avg, pct2
+from queryscope.functions.exprs import pct2
 
 
 def _status(ok) -> F.Column:
@@ -81,5 +81,3 @@ def imputation_summary(enriched: DataFrame) -> DataFrame:
         "avg_sales", "min_sample_size",
     ).orderBy(F.col("null_percentage").desc(), "region", "product_id")
 
-
-__all__ = ["dq_duplicates", "dq_record_count", "dq_nulls", "imputation_summary", "money_avg"]

@@ -24,11 +24,16 @@ DEFAULT_CONF = {
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app: str = "queryscope", extra: dict | None = None) -> SparkSession:
+                app: str = "queryscope", extra: dict | None = None,
+                input_bytes: int | None = None, total_cores: int | None = None) -> SparkSession:
+    """Session with the queryscope defaults; pass ``input_bytes`` and
+    ``total_cores`` on a cluster to size shuffles with ``scale_conf``."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if input_bytes and total_cores:
+        conf.update(scale_conf(input_bytes, total_cores))
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -40,6 +45,24 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Shuffle sizing for a cluster run over ``input_bytes`` of input.
+
+    Start with enough shuffle partitions that each holds about
+    ``target_partition_bytes`` of the widest shuffle (bounded below by two
+    waves of tasks) and let AQE coalesce small ones to the advisory size
+    and split skewed join partitions.  File splits stay at 128 MB.
+    """
+    parts = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(128 << 20),
+    }
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide shared folder named by ``spark.checkpoint.dir``.
 
