@@ -30,3 +30,10 @@ def test_scan_prunes_columns_and_pushes_filters(spark):
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string,props:string>" in p
     assert "ReadSchema: struct<p_partkey:bigint,p_name:string>" in p
     assert "PushedFilters: [IsNotNull(p_partkey), GreaterThanOrEqual(p_partkey,0), LessThan(p_partkey,200)" in p
+
+
+@pytest.mark.parametrize("key", sorted(E.queries()))
+def test_no_global_window(spark, key):
+    import re
+    p = plan_text(E.queries()[key](spark, SF001))
+    assert not re.search(r"Window \[[^\n]*\], \[\], \[", p), f"{key}: window without PARTITION BY"
