@@ -1,9 +1,9 @@
 """The nightly chain: shard scan -> flatten -> dedupe -> categorize -> load
 -> attribution -> daily mart -> quality checks.
 
-Each step is a pure operator; the only disk boundary is the curated fact
-(written to the shared folder), which also cuts the lineage for every
-step that reads it afterwards.
+Each step is a pure operator; the disk boundaries are those of the
+reference (curated fact, attribution table, daily mart), which also cut
+the lineage for every step that reads them afterwards.
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from queryscope.operators import etl, quality
+from queryscope.session import shared_path
+from queryscope.sources.sinks import write_table
 
 
 def build_fact_input(raw: DataFrame, as_of: _dt.date | None,
@@ -26,13 +28,20 @@ def build_fact_input(raw: DataFrame, as_of: _dt.date | None,
 
 def run_nightly(spark: SparkSession, raw: DataFrame, orders: DataFrame, fact_path: str,
                 as_of: _dt.date, processed_at: _dt.datetime | None = None,
-                attribution_days: int = 1) -> dict[str, DataFrame]:
+                attribution_days: int = 1, out_dir: str | None = None) -> dict[str, DataFrame]:
     """Load ``as_of - 1`` into the fact at ``fact_path`` and derive the marts.
 
+    Like the reference, the attribution and the daily mart are written as
+    tables (``{out_dir}/search_order_attribution``, ``…/search_metrics_daily``;
+    default: a fresh folder under the shared folder); the mart is built
+    from the written attribution, so the join runs once and every later
+    step restarts from storage, not from the raw export.
+
     ``attribution_days`` > 1 re-attributes a trailing range of data dates
     (orders arrive after the search; a nightly run sees only orders up to
     the run date, so late orders are picked up by re-running the range).
     """
+    out_dir = out_dir or shared_path(spark, "nightly")
     shard = etl.scan_daily_shard(raw, as_of)
     # The source row count for the record-count check is observed while the
     # load job runs, instead of re-scanning the shard afterwards.
@@ -43,14 +52,18 @@ def run_nightly(spark: SparkSession, raw: DataFrame, orders: DataFrame, fact_pat
     etl.incremental_load(categorized, fact_path, as_of)
     source_rows = seen.get["n"]
     day = as_of - _dt.timedelta(days=1)
-    fact = etl.read_fact(spark, fact_path)
-    recent = fact.filter(fact.data_date.between(day - _dt.timedelta(days=attribution_days - 1), day))
-    attribution = etl.search_order_attribution(recent, orders)
+    first = day - _dt.timedelta(days=attribution_days - 1)
+    recent = etl.read_fact(spark, fact_path).filter(F.col("data_date").between(first, day))
+    attribution_path = f"{out_dir.rstrip('/')}/search_order_attribution"
+    write_table(etl.search_order_attribution(recent, orders), attribution_path)
+    attribution = spark.read.parquet(attribution_path)
+    metrics_path = f"{out_dir.rstrip('/')}/search_metrics_daily"
+    write_table(etl.search_metrics_daily(attribution, day), metrics_path)
     fact_day = etl.read_fact(spark, fact_path, day)
     return {
         "fact": fact_day,
         "attribution": attribution,
-        "metrics_daily": etl.search_metrics_daily(attribution, day),
+        "metrics_daily": spark.read.parquet(metrics_path),
         "dq_duplicates": quality.dq_duplicates(fact_day),
         "dq_record_count": quality.dq_record_count(fact_day, source_rows),
         "dq_nulls": quality.dq_nulls(fact_day),
