@@ -35,3 +35,17 @@ def test_run_nightly(spark, tmp_path):
     n = out["fact"].count()
     again = nightly.run_nightly(spark, raw, orders, path, AS_OF, STAMP)
     assert again["fact"].count() == n
+
+
+def test_attribution_reads_only_its_fact_partitions(spark, tmp_path):
+    raw = fx.raw_ga4_events(spark, SF001)
+    path = str(tmp_path / "fact")
+    for as_of in (AS_OF, AS_OF + dt.timedelta(days=1)):
+        _, cat = nightly.build_fact_input(raw, as_of, STAMP)
+        etl.incremental_load(cat, path, as_of)
+    day = AS_OF - dt.timedelta(days=1)
+    recent = etl.read_fact(spark, path).filter(F.col("data_date").between(day, day))
+    a = etl.search_order_attribution(recent, fx.orders(spark, SF001))
+    plan = a._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(data_date" in plan and "data_date#" in plan
+    assert a.select("event_date").distinct().collect()[0][0] == day
