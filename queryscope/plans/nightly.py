@@ -28,7 +28,8 @@ def build_fact_input(raw: DataFrame, as_of: _dt.date | None,
 
 def run_nightly(spark: SparkSession, raw: DataFrame, orders: DataFrame, fact_path: str,
                 as_of: _dt.date, processed_at: _dt.datetime | None = None,
-                attribution_days: int = 1, out_dir: str | None = None) -> dict[str, DataFrame]:
+                attribution_days: int = 1, out_dir: str | None = None,
+                table_name: str | None = None) -> dict[str, DataFrame]:
     """Load ``as_of - 1`` into the fact at ``fact_path`` and derive the marts.
 
     Like the reference, the attribution and the daily mart are written as
@@ -37,7 +38,8 @@ def run_nightly(spark: SparkSession, raw: DataFrame, orders: DataFrame, fact_pat
     from the written attribution, so the join runs once and every later
     step restarts from storage, not from the raw export.
 
-    ``attribution_days`` > 1 re-attributes a trailing range of data dates
+    ``table_name`` also registers the fact in the catalog (A6, created only
+    if absent).  ``attribution_days`` > 1 re-attributes a trailing range of data dates
     (orders arrive after the search; a nightly run sees only orders up to
     the run date, so late orders are picked up by re-running the range).
     """
@@ -48,7 +50,8 @@ def run_nightly(spark: SparkSession, raw: DataFrame, orders: DataFrame, fact_pat
     seen = Observation("source_rows")
     flat = etl.flatten_event_params(shard).observe(seen, F.count(F.lit(1)).alias("n"))
     categorized = etl.categorize_events(etl.dedupe_events(flat), as_of, processed_at)
-    etl.create_fact_table(spark, fact_path)
+    if table_name:
+        etl.create_fact_table(spark, fact_path, table_name)
     etl.incremental_load(categorized, fact_path, as_of)
     source_rows = seen.get["n"]
     day = as_of - _dt.timedelta(days=1)

@@ -17,7 +17,8 @@ def test_run_nightly(spark, tmp_path):
     raw = fx.raw_ga4_events(spark, SF001)
     orders = fx.orders(spark, SF001)
     path = str(tmp_path / "fact")
-    out = nightly.run_nightly(spark, raw, orders, path, AS_OF, STAMP)
+    out = nightly.run_nightly(spark, raw, orders, path, AS_OF, STAMP, table_name="search_events_fact_t")
+    assert spark.catalog.tableExists("search_events_fact_t")
     day = AS_OF - dt.timedelta(days=1)
     _, cat = nightly.build_fact_input(raw, AS_OF, STAMP)
     want_fact = etl.to_fact(cat, AS_OF)
