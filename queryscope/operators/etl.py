@@ -189,7 +189,8 @@ def retention_filter(df: DataFrame, as_of: _dt.date, months: int = V.RETENTION_C
 # ------------------------------------------------------------------ B6 / B7
 
 def search_order_attribution(fact: DataFrame, orders: DataFrame,
-                             window_days: int = V.ATTRIBUTION_WINDOW_DAYS) -> DataFrame:
+                             window_days: int = V.ATTRIBUTION_WINDOW_DAYS,
+                             hot_orders: int | None = 1_000_000) -> DataFrame:
     """Search groups LEFT JOIN orders placed 0..30 days after the search day.
 
     The reference joins every event to every order of its user and then
@@ -197,7 +198,9 @@ def search_order_attribution(fact: DataFrame, orders: DataFrame,
     range condition only on the group's ``event_date``, so grouping first
     and joining the (deduplicated) orders afterwards gives identical rows
     while the join input shrinks to one row per search group.  The range
-    join is bucketed by time (``plans.joins.range_left_join``).
+    join is bucketed by time (``plans.joins.range_left_join``); a (user,
+    31-day bucket) cell with more than ``hot_orders`` orders is joined on
+    the skew-splittable inner-join path.
     """
     groups = fact.groupBy(*ATTRIBUTION_KEYS).agg(
         F.count_distinct("event_timestamp").alias("search_count"),
@@ -206,7 +209,7 @@ def search_order_attribution(fact: DataFrame, orders: DataFrame,
     )
     o = orders.select("user_pseudo_id", *ORDER_COLUMNS).distinct()
     j = range_left_join(groups, o, "user_pseudo_id", "event_date", "order_date",
-                        0, window_days)
+                        0, window_days, left_id=ATTRIBUTION_KEYS, hot_threshold=hot_orders)
     return j.select(
         *ATTRIBUTION_KEYS, "search_count", "clicked_result", "had_zero_result", *ORDER_COLUMNS,
         F.datediff(F.col("order_date"), F.col("event_date")).alias("days_to_conversion"),

@@ -76,3 +76,19 @@ def test_c1_single_pass_equals_literal_join(spark, evs):
       GROUP BY s.event_date""")
     got = C.daily_engagement_rate(ev).select("event_date", "total_search_sessions", "engaged_sessions")
     assert Counter(got.collect()) == Counter(want.collect())
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(DAYS, USERS), min_size=1, max_size=15),
+       st.lists(st.tuples(DAYS, USERS, st.integers(1, 4)), min_size=0, max_size=25),
+       st.integers(0, 3))
+def test_hot_key_split_equals_plain_join(spark, left, right, threshold):
+    ldf = spark.createDataFrame([(i, u, BASE + dt.timedelta(days=d)) for i, (d, u) in enumerate(left)],
+                                "lid int, user string, day date")
+    rdf = spark.createDataFrame([(i, u, BASE + dt.timedelta(days=d), v) for i, (d, u, v) in enumerate(right)],
+                                "rid int, ruser string, rday date, v int")
+    got = range_left_join(ldf, rdf.withColumnRenamed("ruser", "user"), "user", "day", "rday", 0, 30,
+                          left_id=["lid"], hot_threshold=threshold)
+    cond = (ldf.user == rdf.ruser) & rdf.rday.between(ldf.day, F.date_add(ldf.day, 30))
+    want = ldf.join(rdf, cond, "left").select("lid", "rid")
+    assert Counter(got.select("lid", "rid").collect()) == Counter(want.collect())

@@ -39,7 +39,7 @@ def test_attribution_exact_under_forced_skew_join(spark):
         for k, v in conf.items():
             spark.conf.set(k, v)
         fact, orders = skewed(spark)
-        got = etl.search_order_attribution(fact, orders)
+        got = etl.search_order_attribution(fact, orders, hot_orders=None)
         rows = Counter(got.collect())
         plan = got._jdf.queryExecution().executedPlan().toString()
         fact.createOrReplaceTempView("f_skew")
@@ -66,3 +66,28 @@ def test_attribution_exact_under_forced_skew_join(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_orders_side_hot_user_takes_the_inner_join_path(spark):
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1024",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        fact, orders = skewed(spark)
+        split = etl.search_order_attribution(fact, orders, hot_orders=20)
+        plain = etl.search_order_attribution(fact, orders, hot_orders=None)
+        assert Counter(split.collect()) == Counter(plain.collect())
+        plan = split._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true) Inner" in plan or "SortMergeJoin(skew=true)" in plan
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
