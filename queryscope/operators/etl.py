@@ -66,18 +66,11 @@ def scan_daily_shard(raw: DataFrame, as_of: _dt.date) -> DataFrame:
 
     On a table partitioned by ``event_date`` this is a partition filter
     (``PartitionFilters`` in the scan); on a flat table a pushed filter.
+    Shards landed by suffix are read with ``sources.shards.read_daily_shard``.
     """
     return raw.filter(F.col("event_date") == F.lit(_day(as_of)))
 
 
-def read_daily_shard(spark: SparkSession, root: str, as_of: _dt.date, layout: str = "suffix") -> DataFrame:
-    """A1 over storage: ``{root}/events_YYYYMMDD`` shards or an ``event_date``-partitioned table."""
-    day = _day(as_of)
-    if layout == "suffix":
-        return spark.read.parquet(f"{root.rstrip('/')}/events_{day:%Y%m%d}")
-    return scan_daily_shard(spark.read.parquet(root), as_of)
-
-
 def param(key: str, field: str = "string_value") -> Column:
     """Value of the first ``event_params`` entry with ``key``; NULL if absent."""
     hit = F.filter("event_params", lambda p: p["key"] == F.lit(key))

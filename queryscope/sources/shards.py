@@ -1,22 +1,34 @@
-"""Daily export shards (``events_YYYYMMDD``) in storage."""
+"""Daily export shards as a table partitioned by the shard suffix.
+
+A wildcard export ``events_*`` filtered on ``_TABLE_SUFFIX = 'YYYYMMDD'``
+maps onto a parquet table partitioned by ``_table_suffix``: the suffix
+filter becomes a partition filter, so only that day's folder is listed
+and read.
+"""
 
 from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+SUFFIX = "_table_suffix"
+
 
 def write_daily_shards(raw: DataFrame, root: str) -> None:
-    """Split a raw export into one ``events_YYYYMMDD`` folder per event day.
+    """Land a raw export as one ``_table_suffix=YYYYMMDD`` folder per event day."""
+    (raw.withColumn(SUFFIX, F.date_format("event_date", "yyyyMMdd"))
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(SUFFIX).parquet(root))
+
 
-    Written as a table partitioned by the shard suffix; each folder is then a
-    self-contained daily shard, as a GA4 export lands them.
-    """
-    (raw.withColumn("_shard", F.date_format("event_date", "yyyyMMdd"))
-        .write.mode("overwrite").partitionBy("_shard").parquet(root))
+def read_daily_shard(spark: SparkSession, root: str, as_of: _dt.date) -> DataFrame:
+    """A1: the shard of the day before ``as_of`` (partition-pruned scan)."""
+    day = as_of - _dt.timedelta(days=1)
+    return (spark.read.parquet(root).filter(F.col(SUFFIX) == F.lit(f"{day:%Y%m%d}"))
+                 .drop(SUFFIX))
 
 
 def shard_path(root: str, day: _dt.date) -> str:
-    return f"{root.rstrip('/')}/_shard={day:%Y%m%d}"
+    return f"{root.rstrip('/')}/{SUFFIX}={day:%Y%m%d}"

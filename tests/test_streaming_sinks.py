@@ -9,7 +9,7 @@ from conftest import SF001
 from queryscope.operators import etl
 from queryscope.plans import nightly
 from queryscope.sources import fixtures as fx
-from queryscope.sources.shards import shard_path, write_daily_shards
+from queryscope.sources.shards import read_daily_shard, shard_path, write_daily_shards
 from queryscope.sources.sinks import export_csv
 from queryscope.streaming.ingest import start_incremental_ingest
 
@@ -21,8 +21,12 @@ def test_read_daily_shard_by_suffix(spark, tmp_path):
     root = str(tmp_path / "landing")
     write_daily_shards(raw, root)
     day = dt.date(2024, 1, 15)
-    shard = spark.read.parquet(shard_path(root, day))
+    shard = read_daily_shard(spark, root, day + dt.timedelta(days=1))
     assert shard.count() == raw.filter(F.col("event_date") == day).count() > 0
+    assert shard.count() == spark.read.parquet(shard_path(root, day)).count()
+    plan = shard._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_table_suffix" in plan
+    assert sorted(shard.columns) == sorted(raw.columns)
 
 
 def test_streaming_ingest_equals_batch_backfill_and_is_exactly_once(spark, tmp_path):
