@@ -127,7 +127,8 @@ def categorize_events(deduped: DataFrame, as_of: _dt.date | None,
         click_position_of("event_label", "event_name").alias("click_position"),
         F.when(F.col("search_result_count") == 0, 1).otherwise(0).alias("is_zero_result"),
         region_of("country_code").alias("region"),
-        F.lit(stamp).cast("timestamp_ntz").alias("etl_processed_at"),
+        # parsed from text: a wall-clock TIMESTAMP_NTZ independent of any time zone
+        F.to_timestamp_ntz(F.lit(stamp.isoformat(sep=" "))).alias("etl_processed_at"),
         data_date.alias("data_date"),
     )
 
