@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from queryscope.llm import piece_bpe, token_counts
+from queryscope.llm import packing, piece_bpe, pivot_topk, token_counts
 
 QUERIES = {
+    "op1_packing": packing.op1,
+    "op2_pivot_topk": pivot_topk.op2,
     "op4_piece_bpe": piece_bpe.op4,
     "op9_token_counts": token_counts.op9,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op2_pivot_topk": pivot_topk.OP2_SQL,
+}
