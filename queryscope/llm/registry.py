@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from queryscope.llm import jaccard_join, packing, piece_bpe, pivot_topk, token_counts
+from queryscope.llm import jaccard_join, packing, passages, piece_bpe, pivot_topk, token_counts
 
 QUERIES = {
+    "op5_passages": passages.op5,
     "op8_jaccard_join": jaccard_join.op8,
     "op1_packing": packing.op1,
     "op2_pivot_topk": pivot_topk.op2,
