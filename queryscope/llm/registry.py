@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from queryscope.llm import byte_repeats, jaccard_join, packing, passages, piece_bpe, pivot_topk, token_counts
+from queryscope.llm import byte_repeats, jaccard_join, packing, passages, piece_bpe, pivot_topk, token_counts, weighted_sampling
 
 QUERIES = {
+    "op6_weighted_sampling": weighted_sampling.op6,
     "op7_byte_repeats": byte_repeats.op7,
     "op5_passages": passages.op5,
     "op8_jaccard_join": jaccard_join.op8,
