@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from queryscope.llm import byte_repeats, jaccard_join, language_id, packing, passages, piece_bpe, pivot_topk, token_counts, weighted_sampling
+from queryscope.llm import byte_repeats, jaccard_join, language_id, line_templates, packing, passages, piece_bpe, pivot_topk, token_counts, weighted_sampling
 
 QUERIES = {
+    "op10_line_templates": line_templates.op10,
     "op3_language_id": language_id.op3,
     "op6_weighted_sampling": weighted_sampling.op6,
     "op7_byte_repeats": byte_repeats.op7,
