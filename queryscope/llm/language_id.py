@@ -42,7 +42,6 @@ FEATURES = 1 << 14
 SHARE = 0.001
 DISCOUNT = 0.2
 WEIGHT = 5.0
-UNDETERMINED = "und"
 
 _low = np.arange(256, dtype=np.uint32)
 _low[65:91] += 32
@@ -166,26 +165,38 @@ def fused(rows: DataFrame, langs: list[str]) -> DataFrame:
         joined = joined.join(likelihood(key), key, "left")
     for key in ("domain", "host"):
         joined = joined.join(counts(key), key, "left")
-    own = lambda i: F.when(F.col("n") > 0, F.col("p")[i]).otherwise(0.0)
-
-    def level(key: str, above: list[Column]) -> list[Column]:
-        c = [F.greatest(F.col(key)[i] - own(i), F.lit(0.0)) for i in range(width)]
-        total = sum(c[1:], c[0])
-        return [F.coalesce((c[i] + WEIGHT * above[i]) / (total + WEIGHT), above[i]) for i in range(width)]
-
-    flat = [F.lit(1.0 / width)] * width
-    prior = joined.withColumn("prior0", F.array(*level("overall", flat)))
-    prior = prior.withColumn("prior1", F.array(*level("domain_n", [F.col("prior0")[i] for i in range(width)])))
-    prior = prior.withColumn("prior2", F.array(*level("host_n", [F.col("prior1")[i] for i in range(width)])))
-    zero = F.lit(0.0)
-    score = F.array(*[F.log(F.col("prior2")[i]) + F.col("score")[i] + F.coalesce(F.col("declared_score")[i], zero)
-                      + F.coalesce(F.col("suffix_score")[i], zero) for i in range(width)])
-    best = prior.withColumn("fused", score).withColumn("post", softmax(F.col("fused"), width))
-    top = F.array_position("post", F.array_max("post")).cast("int")
-    name = F.element_at(F.array(*[F.lit(x) for x in [*langs, UNDETERMINED]]), top)
-    accepted = (F.col("n") > 0) & (top < width)
-    return best.select(*[c for c in rows.columns if c not in ("n", "score")], F.when(accepted, name).alias("lang"),
-                       F.array_max("post").alias("posterior"), accepted.alias("accepted"))
+    kept = [c for c in rows.columns if c not in ("n", "score")]
+    parts = ("n", "p", "score", "overall", "domain_n", "host_n", "declared_score", "suffix_score")
+    names = [*langs, None]
+
+    def decide(batches):
+        for b in batches:
+            part = {c: b.column(len(kept) + i) for i, c in enumerate(parts)}
+            some = part["n"].to_numpy() > 0
+
+            def matrix(c, empty=0.0):
+                out = np.full((b.num_rows, width), empty)
+                there = part[c].is_valid().to_numpy(zero_copy_only=False)
+                out[there] = part[c].drop_null().flatten().to_numpy().reshape(-1, width)
+                return out
+
+            own = matrix("p") * some[:, None]
+            prior = np.full((b.num_rows, width), 1.0 / width)
+            for c in ("overall", "domain_n", "host_n"):
+                there = part[c].is_valid().to_numpy(zero_copy_only=False)[:, None]
+                n = np.maximum(matrix(c) - own * there, 0.0)
+                prior = (n + WEIGHT * prior) / (n.sum(1, keepdims=True) + WEIGHT)
+            fused_ = np.log(prior) + matrix("score") + matrix("declared_score") + matrix("suffix_score")
+            post = np.exp(fused_ - fused_.max(1, keepdims=True))
+            post /= post.sum(1, keepdims=True)
+            best = post.argmax(1)
+            good = some & (best < width - 1)
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns[:len(kept)], pa.array([names[i] if g else None for i, g in zip(best, good)], pa.string()),
+                 pa.array(post.max(1)), pa.array(good)], names=[*kept, "lang", "posterior", "accepted"])
+
+    schema = joined.select(*kept, F.lit("").alias("lang"), F.lit(0.0).alias("posterior"), F.lit(True).alias("accepted")).schema
+    return joined.select(*kept, *parts).mapInArrow(decide, schema)
 
 
 def document_rows(docs: DataFrame) -> DataFrame:
