@@ -224,8 +224,8 @@ def keep_identified(docs: DataFrame) -> DataFrame:
     """The documents that are accepted, with ``lang`` as identified."""
     langs, model = fit(docs)
     done = fused(scored(document_rows(docs), model), langs)
-    kept = done.where("accepted").groupBy("key").agg(F.min("lang").alias("__lang"))
-    return (docs.withColumn("__key", F.xxhash64("doc_id", "text", "lang", "source")).join(kept, F.col("__key") == F.col("key"))
+    kept = done.where("accepted").groupBy(F.col("key").alias("__key")).agg(F.min("lang").alias("__lang"))
+    return (docs.withColumn("__key", F.xxhash64("doc_id", "text", "lang", "source")).join(kept, "__key")
             .select(*[F.col("__lang").alias("lang") if c == "lang" else F.col(c) for c in docs.columns]))
 
 

@@ -147,8 +147,8 @@ def drop_lines(df: DataFrame, text: str = "text", id: str = "doc_id") -> DataFra
     frequent = leaves(docs).groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_DOCS)
     lines = stored(candidate_lines(docs, bitmap(frequent)), "candidate-lines")
     bad = boilerplate(lines)
-    lists = lines.select("key", "line").join(bad, "line").groupBy("key").agg(F.collect_set("line").alias("__bad"))
-    joined = docs.drop("__text", "__copy").join(lists, F.col("__key") == F.col("key"), "left").drop("key", "__key")
+    lists = lines.select("key", "line").join(bad, "line").groupBy(F.col("key").alias("__key")).agg(F.collect_set("line").alias("__bad"))
+    joined = docs.drop("__text", "__copy").join(lists, "__key", "left").select(*df.columns, "__bad")
     src, bad_at = df.columns.index(text), len(df.columns)
     out = df.select("*", F.lit(0).cast("long").alias("__lines"), F.lit(0).cast("long").alias("__dropped")).schema
 
