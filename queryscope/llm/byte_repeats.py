@@ -36,13 +36,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from queryscope.llm.common import documents, per_text, text_or_empty
+from queryscope.llm.common import documents, ids_and_texts, per_text
 from queryscope.llm.passages import compact_windows
 from queryscope.llm.words import mix, powers
 
 LENGTH = 100
 Q = 20
 HOT = 256
+BUCKETS = 48          # at least; a bucket is sorted in one task
 HELD = 1_500_000     # anchors a task holds before it sends them
 HELD_BYTES = 24 << 20
 SEED = np.uint64(0x8BB84B93962EACC9)
@@ -59,7 +60,7 @@ def grams(total: np.ndarray, at: np.ndarray, q: int) -> np.ndarray:
     return mix((total[at + q] - total[at]) * powers(len(total))[1][at])
 
 
-ANCHOR = np.dtype([("value", "<u8"), ("owner", "<u4"), ("pos", "<u4"), ("back", "u1"), ("ahead", "u1")])
+ANCHOR = np.dtype([("value", "<u8"), ("pos", "<u4"), ("back", "u1"), ("ahead", "u1")])
 
 
 def anchors_of(texts: list[bytes], length: int):
@@ -80,28 +81,35 @@ def anchors_of(texts: list[bytes], length: int):
     return own, g[first[own] + c], c, back, ahead
 
 
-def dealt(w: np.ndarray, ids: np.ndarray, buckets: int, key: str):
-    """(bucket, records, ids) with owners renumbered within each bucket."""
-    bucket = (w[key] % np.uint64(buckets)).astype(np.int32)
+def runs_of(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Equal neighbours: their id and how many."""
+    at = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+    return ids[at], np.diff(np.append(at, len(ids))).astype(np.uint32)
+
+
+def dealt(w: np.ndarray, ids: np.ndarray, buckets: int):
+    """(bucket, their places, records, ids and counts of runs of one document), records in their order."""
+    bucket = (w["value"] % np.uint64(buckets)).astype(np.int32)
     order = np.argsort(bucket, kind="stable")
     cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
     for i in range(buckets):
         part = order[cut[i]:cut[i + 1]]
         if len(part):
-            own, inv = np.unique(ids[part], return_inverse=True)
-            x = w[part]
-            x["owner"] = inv
-            yield i, part, x, own
+            yield i, part, w[part], *runs_of(ids[part])
+
+
+def undealt(row_ids, row_counts) -> np.ndarray:
+    return np.repeat(np.frombuffer(row_ids.as_buffer(), dtype=np.int64), np.frombuffer(row_counts.as_buffer(), dtype=np.uint32))
 
 
 def repeated_anchors(docs: DataFrame, buckets: int, length: int) -> DataFrame:
     """doc_id, value, pos, back, ahead, n of the anchors whose gram is the anchor of two places or more (n places)."""
-    schema = pa.schema([("bucket", pa.int32()), ("anchors", pa.binary()), ("ids", pa.binary())])
+    schema = pa.schema([("bucket", pa.int32()), ("anchors", pa.binary()), ("ids", pa.binary()), ("counts", pa.binary())])
 
     def send(held):
         w, ids = np.concatenate([h for h, _ in held]), np.concatenate([i for _, i in held])
-        for i, _, x, own in dealt(w, ids, buckets, "value"):
-            yield pa.RecordBatch.from_pydict({"bucket": [i], "anchors": [x.tobytes()], "ids": [own.tobytes()]}, schema=schema)
+        for i, _, x, own, n in dealt(w, ids, buckets):
+            yield pa.RecordBatch.from_pydict({"bucket": [i], "anchors": [x.tobytes()], "ids": [own.tobytes()], "counts": [n.tobytes()]}, schema=schema)
 
     def emit(batches):
         held, n = [], 0
@@ -128,55 +136,66 @@ def repeated_anchors(docs: DataFrame, buckets: int, length: int) -> DataFrame:
         ws, ds = [], []
         for r in range(table.num_rows):
             w = np.frombuffer(table.column("anchors")[r].as_buffer(), dtype=ANCHOR)
-            ds.append(np.frombuffer(table.column("ids")[r].as_buffer(), dtype=np.int64)[w["owner"]])
+            ds.append(undealt(table.column("ids")[r], table.column("counts")[r]))
             ws.append(w)
         w, d = np.concatenate(ws), np.concatenate(ds)
         order = np.argsort(w["value"])
+        v = w["value"][order]
+        often = np.zeros(len(v), dtype=bool)
+        often[1:] = v[1:] == v[:-1]
+        often[:-1] |= often[1:]
+        order = order[often]
+        w, d = w[order], d[order]
+        order = np.lexsort((w["pos"], d, w["value"]))
         w, d = w[order], d[order]
+        new = np.ones(len(w), dtype=bool)  # rows that repeat an id have their anchors twice
+        new[1:] = (w["value"][1:] != w["value"][:-1]) | (d[1:] != d[:-1]) | (w["pos"][1:] != w["pos"][:-1])
+        w, d = w[new], d[new]
+        if not len(w):
+            return out.empty_table()
         start = np.flatnonzero(np.concatenate([[True], w["value"][1:] != w["value"][:-1]]))
         n = np.repeat(np.diff(np.append(start, len(w))), np.diff(np.append(start, len(w))))
         k = n > 1
         return pa.table([d[k], w["value"][k].view(np.int64), w["pos"][k].astype(np.int32), w["back"][k].astype(np.int32),
                          w["ahead"][k].astype(np.int32), n[k].astype(np.int32)], schema=out)
 
-    sent = docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(emit, "bucket int, anchors binary, ids binary")
+    sent = docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(emit, "bucket int, anchors binary, ids binary, counts binary")
     return sent.groupBy("bucket").applyInArrow(count, "doc_id long, value long, pos int, back int, ahead int, n int")
 
 
-WHOLE = np.dtype([("value", "<u8"), ("owner", "<u4"), ("pos", "<u4")])
+WHOLE = np.dtype([("value", "<u8"), ("pos", "<u4")])
 
 
 def strings_around(texts: DataFrame, anchors: DataFrame, buckets: int, length: int) -> DataFrame:
     """The bytes around each repeated anchor, dealt out by its gram; whole strings of frequent ones by their hash."""
     lists = anchors.groupBy("doc_id").agg(F.collect_list(F.struct("value", "pos", "back", "ahead", "n")).alias("at"))
     joined = texts.join(lists, "doc_id").select("doc_id", "text", "at")
-    schema = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("records", pa.binary()), ("ids", pa.binary()), ("bytes", pa.binary())])
+    schema = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("records", pa.binary()), ("ids", pa.binary()), ("counts", pa.binary()), ("bytes", pa.binary())])
 
-    def row(bucket, kind, records, ids, raw=b""):
+    def row(bucket, kind, records, ids, counts, raw=b""):
         return pa.RecordBatch.from_pydict({"bucket": [bucket], "kind": [kind], "records": [records.tobytes()],
-                                           "ids": [ids.tobytes()], "bytes": [raw]}, schema=schema)
+                                           "ids": [ids.tobytes()], "counts": [counts.tobytes()], "bytes": [raw]}, schema=schema)
 
     def send(cold, hot):
         if cold:
             w = np.concatenate([c[0] for c in cold])
             ids = np.concatenate([c[1] for c in cold])
             raw = [x for c in cold for x in c[2]]
-            for i, part, x, own in dealt(w, ids, buckets, "value"):
-                yield row(i, 0, x, own, b"".join([raw[k] for k in part.tolist()]))
+            for i, part, x, own, n in dealt(w, ids, buckets):
+                yield row(i, 0, x, own, n, b"".join([raw[k] for k in part.tolist()]))
         if hot:
             w, ids = np.concatenate([h for h, _ in hot]), np.concatenate([i for _, i in hot])
             order = np.lexsort((w["pos"], ids, w["value"]))
             w, ids = w[order], ids[order]
             new = np.ones(len(w), dtype=bool)
             new[1:] = w["value"][1:] != w["value"][:-1]
-            for i, _, x, own in dealt(w[new], ids[new], buckets, "value"):
-                yield row(i, 1, x, own)
+            for i, _, x, own, n in dealt(w[new], ids[new], buckets):
+                yield row(i, 1, x, own, n)
             # later places in this task repeat whatever the others hold: only passed on
             rest = w[~new]
             if len(rest):
-                own, inv = np.unique(ids[~new], return_inverse=True)
-                rest["owner"] = inv
-                yield row(int(own[0] % buckets), 2, rest, own)
+                own, n = runs_of(ids[~new])
+                yield row(int(own[0] % buckets), 2, rest, own, n)
 
     def emit(batches):
         cold, hot, held = [], [], 0
@@ -210,7 +229,7 @@ def strings_around(texts: DataFrame, anchors: DataFrame, buckets: int, length: i
                     cold, hot, held = [], [], 0
         yield from send(cold, hot)
 
-    return joined.mapInArrow(emit, "bucket int, kind int, records binary, ids binary, bytes binary")
+    return joined.mapInArrow(emit, "bucket int, kind int, records binary, ids binary, counts binary, bytes binary")
 
 
 def starts_again(w: np.ndarray, d: np.ndarray, raw: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -269,7 +288,7 @@ def spans(strings: DataFrame, length: int) -> DataFrame:
         for r in range(table.num_rows):
             kind = table.column("kind")[r].as_py()
             w = np.frombuffer(table.column("records")[r].as_buffer(), dtype=WHOLE if kind else ANCHOR)
-            d = np.frombuffer(table.column("ids")[r].as_buffer(), dtype=np.int64)[w["owner"]]
+            d = undealt(table.column("ids")[r], table.column("counts")[r])
             if kind == 0:
                 data = table.column("bytes")[r].as_py()
                 end = np.cumsum(w["back"].astype(np.int64) - w["ahead"] + length).tolist()
@@ -308,8 +327,8 @@ def spans(strings: DataFrame, length: int) -> DataFrame:
 def without_repeats(df: DataFrame, length: int = LENGTH, text: str = "text") -> DataFrame:
     """doc_id, n_bytes, removed array<struct<from, to>> (maximal runs), kept binary."""
     spark = df.sparkSession
-    buckets = 3 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
+    buckets = max(BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    docs = ids_and_texts(df, text)
     texts = docs.where("doc_id is not null").groupBy("doc_id").agg(F.min("text").alias("text"))
     found = spans(strings_around(texts, repeated_anchors(docs, buckets, length), buckets, length), length)
     lists = found.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("from", "to"))).alias("spans"))

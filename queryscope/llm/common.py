@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -49,6 +48,16 @@ def text_or_empty(col: str = "text"):
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
 
+def ids_and_texts(df: DataFrame, text: str = "text") -> DataFrame:
+    """doc_id (long) and text (null: empty).
+
+    A long id is taken as it is: behind an alias, two uses of the texts in
+    one plan would not share their shuffle.
+    """
+    id_ = F.col("doc_id") if dict(df.dtypes)["doc_id"] == "bigint" else F.col("doc_id").cast("long").alias("doc_id")
+    return df.select(id_, text_or_empty(text).alias("text"))
+
+
 def per_text(texts: pa.Array, max_bytes: int) -> Iterator[list[str]]:
     """The texts of an Arrow column in runs of at most ``max_bytes`` (one text at least)."""
     run: list[str] = []
@@ -102,7 +111,3 @@ def spans(lengths) -> pa.Array:
     out = np.zeros(len(lengths) + 1, dtype=np.int32)
     np.cumsum(lengths, out=out[1:])
     return pa.array(out, pa.int32())
-
-
-def root_of(path: str) -> str:
-    return os.path.dirname(path)

@@ -33,7 +33,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from queryscope.llm.common import documents, stored, text_or_empty
+from queryscope.llm.common import documents, ids_and_texts, stored
 
 SAMPLES = 32
 LOW = 0xFFFFFFFF
@@ -115,7 +115,7 @@ def edited(texts: DataFrame, order: DataFrame) -> DataFrame:
 
 
 def op6(spark, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir).select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).where("doc_id is not null")
+    docs = ids_and_texts(documents(spark, sf_dir)).where("doc_id is not null")
     order = stored(before(docs.select("doc_id").distinct()), "fingerprint-order")
     both = edited(docs.groupBy("doc_id").agg(F.min("text").alias("text")), order)
     sides = both.select("doc_id", F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("text").alias("t")),
