@@ -35,6 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
 from queryscope.llm.common import documents, per_text, stored, text_or_empty
 
@@ -195,7 +196,8 @@ def fused(rows: DataFrame, langs: list[str]) -> DataFrame:
                 [*b.columns[:len(kept)], pa.array([names[i] if g else None for i, g in zip(best, good)], pa.string()),
                  pa.array(post.max(1)), pa.array(good)], names=[*kept, "lang", "posterior", "accepted"])
 
-    schema = joined.select(*kept, F.lit("").alias("lang"), F.lit(0.0).alias("posterior"), F.lit(True).alias("accepted")).schema
+    schema = StructType([*joined.select(*kept).schema.fields, StructField("lang", StringType()),
+                         StructField("posterior", DoubleType()), StructField("accepted", BooleanType())])
     return joined.select(*kept, *parts).mapInArrow(decide, schema)
 
 

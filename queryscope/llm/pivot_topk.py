@@ -17,8 +17,8 @@ are, so many equal vectors are spread like any others.
 Cases: rows whose id or vector is null, or whose vector holds null or
 non-finite components, take no part; rows that repeat an id count once,
 with the smallest vector; shorter vectors count as filled up with zeros; an
-empty table gives no rows; scores beyond a 64-bit integer are computed
-exactly and returned as its largest or smallest value.
+empty table gives no rows; scores beyond a 64-bit integer are its largest
+or smallest value, and tie there.
 """
 
 from __future__ import annotations
@@ -35,6 +35,7 @@ QUERY_BLOCK = 256  # queries per block
 PIVOTS = 16
 FIRST = 64         # candidates evaluated at first, then as many again each time
 EXACT = 2.0 ** 53
+LEAST, MOST = -2 ** 63, 2 ** 63 - 1
 
 
 def usable(df: DataFrame) -> DataFrame:
@@ -88,11 +89,11 @@ def pivot_table(x: np.ndarray, m2: float) -> tuple[np.ndarray, np.ndarray]:
 
 
 def products(x: np.ndarray, q: np.ndarray) -> list[int] | np.ndarray:
-    """Exact integer products; doubles serve while every sum fits in 53 bits."""
+    """Exact integer products within a 64-bit integer; doubles serve while every sum fits in 53 bits."""
     if len(x) == 0 or np.abs(x).max() * np.abs(q).max() * max(1, len(q)) < EXACT:
         return x @ q
     qi = [int(c) for c in q]
-    return np.array([sum(int(a) * b for a, b in zip(r, qi)) for r in x], dtype=object)
+    return np.array([max(LEAST, min(MOST, sum(int(a) * b for a, b in zip(r, qi)))) for r in x], dtype=object)
 
 
 def search(ids, x, m2, pivots, table, qid: int, q: np.ndarray, k: int) -> list[tuple[int, int]]:
@@ -108,7 +109,7 @@ def search(ids, x, m2, pivots, table, qid: int, q: np.ndarray, k: int) -> list[t
     best: list[tuple[int, int]] = []
     at, step = 0, FIRST
     while at < len(order):
-        if len(best) == k and ceiling[order[at]] + slack < best[-1][0]:
+        if len(best) == k and best[-1][0] > LEAST and ceiling[order[at]] + slack < best[-1][0]:
             break
         take = order[at:at + step]
         at, step = at + step, step * 2
@@ -162,7 +163,7 @@ def top_k(df: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
                     for s, i in search(ids, x, m2, pivots, table, int(qid), q, k):
                         out["query_id"].append(int(qid))
                         out["vec_id"].append(i)
-                        out["score"].append(max(-2 ** 63, min(2 ** 63 - 1, s)))
+                        out["score"].append(s)
             yield pa.RecordBatch.from_pydict(out, schema=pa.schema([(c, pa.int64()) for c in out]))
 
     found = work.mapInArrow(answer, "query_id long, vec_id long, score long")
