@@ -13,7 +13,7 @@ similarity of their bags, so the share of equal samples estimates it
 
 A sample is held in one long, ln a in fixed point above 32 bits of a hash
 of (k, t), so that the smallest long is the sample and a fingerprint is a
-plain minimum per sample.  Word counts come from sorted hashes within a
+plain minimum per sample; the hash is what a fingerprint keeps.  Word counts come from sorted hashes within a
 row; the words of a text never leave its partition.
 
 The edited text of a document has its last third replaced by the head of
@@ -77,11 +77,13 @@ def sample(w: Column, ln_weight: Column, i: int) -> Column:
     return F.shiftleft(fixed, 32).bitwiseOR(name)
 
 
-def fingerprints(df: DataFrame, keys: list[str], w: str = "w", weight: str = "weight", samples: int = SAMPLES) -> DataFrame:
-    """keys, samples array<long>, over (keys, word hash, positive weight) rows."""
+def fingerprints(df: DataFrame, keys: list[str], w: str = "w", weight: str = "weight", samples: int = SAMPLES,
+                 also: list[Column] | None = None) -> DataFrame:
+    """keys, samples array<int>, over (keys, word hash, positive weight) rows; ``also``: further aggregates."""
     mins = [F.min(sample(F.col(w), F.col("ln_weight"), i)).alias(f"s{i}") for i in range(samples)]
-    done = df.withColumn("ln_weight", F.log(weight)).groupBy(*keys).agg(*mins)
-    return done.select(*keys, F.array(*[f"s{i}" for i in range(samples)]).alias("samples"))
+    done = df.withColumn("ln_weight", F.log(weight)).groupBy(*keys).agg(*mins, *(also or []))
+    name = [F.shiftright(F.shiftleft(f"s{i}", 32), 32).cast("int") for i in range(samples)]
+    return done.withColumn("samples", F.array(*name)).drop(*[f"s{i}" for i in range(samples)])
 
 
 def likeness(a: str, b: str, samples: int = SAMPLES) -> Column:
@@ -90,7 +92,7 @@ def likeness(a: str, b: str, samples: int = SAMPLES) -> Column:
 
 
 def as_text(col: str) -> Column:
-    return F.concat_ws("", F.transform(col, lambda x: F.lpad(F.hex(x.bitwiseAND(F.lit(LOW).cast("long"))), 8, "0")))
+    return F.concat_ws("", F.transform(col, lambda x: F.lpad(F.hex(x.cast("long").bitwiseAND(F.lit(LOW).cast("long"))), 8, "0")))
 
 
 def before(ids: DataFrame) -> DataFrame:
@@ -114,19 +116,29 @@ def edited(texts: DataFrame, order: DataFrame) -> DataFrame:
         F.concat(F.expr("substring(text, 1, int(char_length(text) - third))"), "head").alias("edited"))
 
 
+def digits(sha: Column) -> list[Column]:
+    """A hexadecimal digest as four longs, which aggregate like any number."""
+    return [F.conv(F.substring(sha, 16 * i + 1, 16), 16, -10).cast("long").alias(f"d{i}") for i in range(4)]
+
+
 def op6(spark, sf_dir: str) -> DataFrame:
     docs = ids_and_texts(documents(spark, sf_dir)).where("doc_id is not null")
     order = stored(before(docs.select("doc_id").distinct()), "fingerprint-order")
     both = edited(docs.groupBy("doc_id").agg(F.min("text").alias("text")), order)
-    sides = both.select("doc_id", F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("text").alias("t")),
-                                                    F.struct(F.lit(1).alias("side"), F.col("edited").alias("t")))).alias("e"))
-    terms = sides.select("doc_id", "e.side", F.explode(bag(F.col("e.t"))).alias("x")).select(
-        "doc_id", "side", "x.w", F.col("x.tf").cast("double").alias("weight"))
-    prints = stored(fingerprints(terms, ["doc_id", "side"]), "fingerprints")
-    mine = prints.where("side = 0").select("doc_id", F.col("samples").alias("own"))
-    other = prints.where("side = 1").select("doc_id", F.col("samples").alias("edit"))
-    following = mine.select(F.col("doc_id").alias("next_id"), F.col("own").alias("following"))
-    about = both.select("doc_id", F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"))
-    return (about.join(mine, "doc_id").join(other, "doc_id").join(order, "doc_id").join(following, "next_id")
-            .select("doc_id", "n_chars", "edited_sha256", as_text("own").alias("fingerprint"), as_text("edit").alias("edited_fingerprint"),
+    about = ["next_id", "n_chars", "d0", "d1", "d2", "d3"]
+    sides = (both.withColumn("n_chars", F.char_length("text").cast("long")).withColumn("sha", F.sha2("edited", 256))
+             .select("doc_id", "next_id", "n_chars", *digits(F.col("sha")),
+                     F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("text").alias("t")),
+                                       F.struct(F.lit(1).alias("side"), F.col("edited").alias("t")))).alias("e")))
+    terms = sides.select("doc_id", *about, "e.side", F.explode(bag(F.col("e.t"))).alias("x")).select(
+        "doc_id", *about, "side", "x.w", F.col("x.tf").cast("double").alias("weight"))
+    prints = fingerprints(terms, ["doc_id", "side"], also=[F.max(c).alias(c) for c in about])
+    # both sides of a document are in one partition
+    rows = stored(prints.groupBy("doc_id").agg(
+        *[F.max(c).alias(c) for c in about], F.max(F.when(F.col("side") == 0, F.col("samples"))).alias("own"),
+        F.max(F.when(F.col("side") == 1, F.col("samples"))).alias("edit")), "fingerprints")
+    following = rows.select(F.col("doc_id").alias("next_id"), F.col("own").alias("following"))
+    sha = F.lower(F.concat(*[F.lpad(F.hex(f"d{i}"), 16, "0") for i in range(4)]))
+    return (rows.join(following, "next_id")
+            .select("doc_id", "n_chars", sha.alias("edited_sha256"), as_text("own").alias("fingerprint"), as_text("edit").alias("edited_fingerprint"),
                     likeness("own", "edit").alias("near_edited"), likeness("own", "following").alias("near_next")))
