@@ -94,13 +94,15 @@ def norm_term(term: ColumnOrName) -> Column:
 def div_half_up(num: ColumnOrName, den: ColumnOrName) -> Column:
     """Integer ``num / den`` rounded HALF_UP (both non-negative) as BIGINT.
 
-    The quotient is taken as ``(x - x % y) / y``, exact for bigints below
-    2^53.  ``den = 0`` or NULL gives NULL.
+    Computed in DECIMAL(38,0), where doubling a sum cannot overflow; the
+    quotient is taken as ``(x - x % y) / y``, which is exact.  ``den = 0``
+    or NULL gives NULL.
     """
-    num = _c(num).cast("bigint")
-    den = F.nullif(_c(den).cast("bigint"), F.lit(0).cast("bigint"))
-    x = num * 2 + den
-    y = den * 2
+    wide = "decimal(38,0)"
+    num = _c(num).cast(wide)
+    den = F.nullif(_c(den).cast(wide), F.lit(0).cast(wide))
+    x = (num * 2 + den).cast(wide)
+    y = (den * 2).cast(wide)
     return ((x - x % y) / y).cast("bigint")
 
 
@@ -111,7 +113,7 @@ def round2_avg(total: ColumnOrName, n: ColumnOrName) -> Column:
 
 def round2_money_avg(total: ColumnOrName, n: ColumnOrName) -> Column:
     """``ROUND(AVG(money), 2)`` from an exact DECIMAL(…,2) total, as DOUBLE."""
-    cents = (_c(total) * 100).cast("bigint")
+    cents = (_c(total).cast("decimal(38,2)") * 100).cast("decimal(38,0)")
     return div_half_up(cents, n) / 100.0
 
 
@@ -129,3 +131,23 @@ def pct_text(a: ColumnOrName, b: ColumnOrName, decimals: int = 1) -> Column:
     q = F.coalesce(div_half_up(_c(a).cast("bigint") * (100 * scale), b), F.lit(0).cast("bigint"))
     whole = ((q - q % scale) / scale).cast("bigint")
     return F.format_string(f"%d.%0{decimals}d%%", whole, q % scale)
+
+
+def float_percent_text(rate: ColumnOrName) -> Column:
+    """``f"{rate:.2%}"`` of a non-negative double: two places of ``rate * 100``,
+    rounded from its exact binary value, ties to even (1/800 is 0.12%).
+
+    ``rate * 100 * 100`` is taken as a double plus its rounding error (the
+    factor split into halves whose products are exact), so a value next to
+    a tie is told from the tie itself.
+    """
+    x = _c(rate) * 100.0
+    split = x * 134217729.0
+    high = split - (split - x)
+    low = x - high
+    p = x * 100.0
+    error = (high * 100.0 - p) + low * 100.0
+    q = F.floor(p).cast("bigint")
+    over = (p - q.cast("double") - 0.5) + error
+    n = q + F.when((over > 0) | ((over == 0) & (q % 2 == 1)), 1).otherwise(0)
+    return F.format_string("%d.%02d%%", ((n - n % 100) / 100).cast("bigint"), n % 100)

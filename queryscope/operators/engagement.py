@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from queryscope.functions import vocab as V
-from queryscope.functions.exprs import pct_text, ratio0, safe_ratio
+from queryscope.functions.exprs import float_percent_text, ratio0, safe_ratio
 
 LOADED_COLUMNS = ["user_pseudo_id", "event_date", "event_timestamp", "search_term",
                   "search_result_count", "event_name", "event_label", "event_category",
@@ -91,7 +91,7 @@ def search_to_conversion(loaded: DataFrame, buyers: DataFrame) -> DataFrame:
               F.count("_buyer").alias("users_converted"))
     rate = ratio0("users_converted", "total_users_searched")
     return g.select("total_users_searched", "users_converted", rate.alias("conversion_rate"),
-                    pct_text("users_converted", "total_users_searched", 2).alias("conversion_rate_pct"))
+                    float_percent_text(rate).alias("conversion_rate_pct"))
 
 
 def ordered_mean(col: str) -> F.Column:

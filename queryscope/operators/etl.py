@@ -9,8 +9,9 @@ attribution join and the mart aggregation.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,14 +24,14 @@ from queryscope.functions.exprs import (
 )
 from queryscope.plans.joins import range_left_join
 
-# Columns of the flattened view and of the deduplication (13 each).
+# Columns of the flattened view and of the deduplication (13 each).
 FLAT_COLUMNS = [
     "event_date", "event_timestamp", "event_name", "user_pseudo_id", "event_category",
     "event_action", "event_label", "search_term", "search_result_count", "page_name",
     "country_code", "device_category", "traffic_source",
 ]
 
-# Curated fact table DDL (15 columns, partitioned by data_date).
+# Curated fact table DDL (15 columns, partitioned by data_date).
 FACT_SCHEMA = T.StructType([
     T.StructField("event_date", T.DateType()),
     T.StructField("event_timestamp", T.LongType()),
@@ -50,6 +51,7 @@ FACT_SCHEMA = T.StructType([
 ])
 FACT_COLUMNS = [f.name for f in FACT_SCHEMA.fields]
 
+# The grouping of the attribution table.
 ATTRIBUTION_KEYS = ["event_date", "user_pseudo_id", "search_term", "search_type",
                     "country_code", "region"]
 ORDER_COLUMNS = ["order_id", "order_date", "order_value", "product_id"]
@@ -150,6 +152,12 @@ def create_fact_table(spark: SparkSession, path: str, name: str = "search_events
               f"PARTITIONED BY (data_date) LOCATION '{path}'")
 
 
+def sync_fact_table(spark: SparkSession, name: str = "search_events_fact") -> None:
+    """Make the catalog table show the partitions that a load by path added or removed."""
+    spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+    spark.catalog.refreshTable(name)
+
+
 def incremental_load(categorized: DataFrame, path: str, as_of: _dt.date,
                      max_records_per_file: int = 5_000_000) -> None:
     """Write one ``data_date`` partition, replacing only that partition.
@@ -158,13 +166,38 @@ def incremental_load(categorized: DataFrame, path: str, as_of: _dt.date,
     appends, so a rerun doubles the day).  The day is written straight from
     the upstream partitions (no repartition by ``data_date``, which would
     funnel a whole day through one task); ``max_records_per_file`` bounds
-    the file size.
+    the file size.  Dynamic overwrite touches only partitions with rows, so
+    a day that turned out empty has its old partition removed afterwards.
     """
-    fact = to_fact(categorized, as_of)
+    seen = Observation(f"loaded-{uuid.uuid4().hex[:8]}")
+    fact = to_fact(categorized, as_of).observe(seen, F.count(F.lit(1)).alias("n"))
     (fact.write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic")
          .option("maxRecordsPerFile", max_records_per_file)
          .partitionBy("data_date").parquet(path))
+    if seen.get["n"] == 0:
+        remove_partitions(categorized.sparkSession, path, [_day(as_of)])
+
+
+def remove_partitions(spark: SparkSession, path: str, days: list[_dt.date]) -> None:
+    """Delete the ``data_date`` partitions of ``days`` from the table at ``path``."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    for day in days:
+        p = hadoop.Path(f"{path.rstrip('/')}/data_date={day.isoformat()}")
+        p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
+
+
+def expire_partitions(spark: SparkSession, path: str, as_of: _dt.date,
+                      months: int = V.RETENTION_CURATED_MONTHS) -> list[_dt.date]:
+    """B5 on storage: remove the ``data_date`` partitions beyond the horizon; the days removed.
+
+    The days come from the partition listing; no data file is read.
+    """
+    old = (read_fact(spark, path).select("data_date").distinct()
+           .filter(F.col("data_date") < F.add_months(F.lit(as_of), -months)))
+    days = [r["data_date"] for r in old.collect()]
+    remove_partitions(spark, path, days)
+    return days
 
 
 def read_fact(spark: SparkSession, path: str, data_date: _dt.date | None = None) -> DataFrame:
@@ -183,8 +216,7 @@ def retention_filter(df: DataFrame, as_of: _dt.date, months: int = V.RETENTION_C
 # ------------------------------------------------------------------ B6 / B7
 
 def search_order_attribution(fact: DataFrame, orders: DataFrame,
-                             window_days: int = V.ATTRIBUTION_WINDOW_DAYS,
-                             hot_orders: int | None = 1_000_000) -> DataFrame:
+                             window_days: int = V.ATTRIBUTION_WINDOW_DAYS) -> DataFrame:
     """Search groups LEFT JOIN orders placed 0..30 days after the search day.
 
     The reference joins every event to every order of its user and then
@@ -192,9 +224,8 @@ def search_order_attribution(fact: DataFrame, orders: DataFrame,
     range condition only on the group's ``event_date``, so grouping first
     and joining the (deduplicated) orders afterwards gives identical rows
     while the join input shrinks to one row per search group.  The range
-    join is bucketed by time (``plans.joins.range_left_join``); a (user,
-    31-day bucket) cell with more than ``hot_orders`` orders is joined on
-    the skew-splittable inner-join path.
+    join is bucketed by time and can be split on either side
+    (``plans.joins.range_left_join``).
     """
     groups = fact.groupBy(*ATTRIBUTION_KEYS).agg(
         F.count_distinct("event_timestamp").alias("search_count"),
@@ -203,7 +234,7 @@ def search_order_attribution(fact: DataFrame, orders: DataFrame,
     )
     o = orders.select("user_pseudo_id", *ORDER_COLUMNS).distinct()
     j = range_left_join(groups, o, "user_pseudo_id", "event_date", "order_date",
-                        0, window_days, left_id=ATTRIBUTION_KEYS, hot_threshold=hot_orders)
+                        0, window_days)
     return j.select(
         *ATTRIBUTION_KEYS, "search_count", "clicked_result", "had_zero_result", *ORDER_COLUMNS,
         F.datediff(F.col("order_date"), F.col("event_date")).alias("days_to_conversion"),

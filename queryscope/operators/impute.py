@@ -79,7 +79,35 @@ def regional_sales_clean(sales: DataFrame) -> DataFrame:
     )
 
 
-def total_sales_cleaned(clean: DataFrame, dims: list[str]) -> DataFrame:
-    """I4: SUMX of the cleaned value by any dimensions, rounded to cents."""
-    return clean.groupBy(*dims).agg(
-        F.round(F.sum("regional_sales_clean"), 2).alias("total_sales_cleaned"))
+def sales_groups(sales: DataFrame) -> DataFrame:
+    """One pass over the sales: rows, NULLs and exact total per (region, product).
+
+    Everything the dashboard needs of cleaned sales follows from these
+    groups: a NULL sale is worth its group's mean, so a group is worth its
+    total plus NULLs times total over non-NULL rows.
+    """
+    return sales.groupBy(*KEYS).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("sales_value").isNull()).alias("null_sales_count"),
+        F.sum("sales_value").alias("total"),
+    )
+
+
+def cleaned_totals(groups: DataFrame, dims: list[str]) -> DataFrame:
+    """Per ``dims`` (of region, product): ``total`` of the cleaned sales as
+    DECIMAL(38,6), and the counts of rows and NULLs.
+
+    The imputed part of a group is rounded to 10^-6 once; sums are of
+    decimals, so they do not depend on the order of rows.
+    """
+    known = F.col("rows") - F.col("null_sales_count")
+    mean = F.try_divide(F.col("total").cast("double"), known.cast("double"))
+    imputed = F.coalesce((mean * F.col("null_sales_count")).cast("decimal(28,6)"), F.lit(0).cast("decimal(28,6)"))
+    value = F.when(known > 0, F.col("total").cast("decimal(28,6)") + imputed).cast("decimal(28,6)")
+    return groups.withColumn("_value", value).groupBy(*dims).agg(
+        F.sum("_value").alias("total"), F.sum("rows").alias("rows"), F.sum("null_sales_count").alias("null_sales_count"))
+
+
+def total_sales_cleaned(groups: DataFrame, dims: list[str]) -> DataFrame:
+    """I4: SUMX of the cleaned value by region or product, rounded to cents."""
+    return cleaned_totals(groups, dims).select(*dims, F.round("total", 2).cast("double").alias("total_sales_cleaned"))

@@ -12,11 +12,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from queryscope.functions import vocab as V
 from queryscope.functions.exprs import pct_text, ratio0, safe_ratio
+from queryscope.operators import impute
 
 def _name() -> Column:
     return F.col("event_name")
@@ -146,76 +147,93 @@ def search_conversion_rate(events: DataFrame, orders: DataFrame, dims: list[str]
 
 # ------------------------------------------------------------ M18, M22, M23
 
-def clicks_at_position(events: DataFrame) -> DataFrame:
-    """Click rows per click_position (the NULL position is a row)."""
-    return measures(events.filter(_click()), ["click_position"], ["total_clicks"]) \
+def clicks_at_position(events: DataFrame, dims: list[str] | None = None) -> DataFrame:
+    """Click rows per ``dims`` and click_position (the NULL position is a row)."""
+    return measures(events.filter(_click()), [*(dims or []), "click_position"], ["total_clicks"]) \
         .withColumnRenamed("total_clicks", "clicks_at_position")
 
 
 def regional_search_volume(events: DataFrame, dims: list[str]) -> DataFrame:
     """Searches per ``dims`` next to the region total (ALLEXCEPT region).
 
-    The region total is a window over the already-aggregated rows (one row
-    per dims combination), not over events.
+    The total is its own small aggregate, joined back by region; where the
+    region is not among ``dims`` there is no region in the context and the
+    total is that of all rows.
     """
     g = measures(events, dims, ["total_searches"])
-    return g.withColumn("regional_search_volume",
-                        F.sum("total_searches").over(Window.partitionBy("region")))
+    if "region" not in dims:
+        return g.withColumn("regional_search_volume", measures(events, [], ["total_searches"]).scalar())
+    total = measures(events, ["region"], ["total_searches"]).select(
+        F.col("region").alias("_region"), F.col("total_searches").alias("regional_search_volume"))
+    return g.join(total, F.col("region").eqNullSafe(F.col("_region"))).drop("_region")
 
 
-def sales_per_search(clean_sales: DataFrame, events: DataFrame) -> DataFrame:
-    """Total Sales Cleaned ÷ Regional Search Volume per region (full outer on region)."""
-    s = clean_sales.groupBy("region").agg(F.sum("regional_sales_clean").alias("_sales"))
+def sales_per_search(groups: DataFrame, events: DataFrame) -> DataFrame:
+    """Total Sales Cleaned ÷ Regional Search Volume per region (full outer on region).
+
+    ``groups``: ``impute.sales_groups`` of the sales.
+    """
+    s = impute.cleaned_totals(groups, ["region"])
     v = measures(events, ["region"], ["total_searches"]).withColumnRenamed("region", "_vregion")
     j = s.join(v, s["region"].eqNullSafe(v["_vregion"]), "full")
     return j.select(
         F.coalesce("region", "_vregion").alias("region"),
-        F.round("_sales", 2).alias("total_sales_cleaned"),
+        F.round("total", 2).cast("double").alias("total_sales_cleaned"),
         F.col("total_searches").alias("regional_search_volume"),
-        F.round(ratio0("_sales", "total_searches"), 6).alias("sales_per_search"),
+        F.round(ratio0(F.col("total").cast("double"), "total_searches"), 6).alias("sales_per_search"),
+        "null_sales_count", "rows",
     )
 
 
 # ------------------------------------------------------------ M24–M27 (time intelligence)
 
-def monthly_base(events: DataFrame) -> DataFrame:
-    """Month calendar (every month between the first and last event month)
-    with BLANK-aware monthly searches and clicks."""
+def monthly_base(events: DataFrame, dims: list[str] | None = None) -> DataFrame:
+    """For each value of ``dims`` every month between its first and last
+    event, with BLANK-aware monthly searches and clicks."""
+    dims = dims or []
     month = F.trunc("event_date", "month")
-    agg = events.groupBy(month.alias("month")).agg(
+    agg = events.groupBy(*dims, month.alias("month")).agg(
         F.nullif(F.count_if(_submit()), F.lit(0).cast("bigint")).alias("total_searches"),
         F.nullif(F.count_if(_click()), F.lit(0).cast("bigint")).alias("total_clicks"),
     )
-    cal = events.agg(F.min(month).alias("lo"), F.max(month).alias("hi")).select(
-        F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 MONTH"))).alias("month"))
-    return cal.join(agg, "month", "left")
+    cal = agg.groupBy(*dims).agg(F.min("month").alias("lo"), F.max("month").alias("hi")).select(
+        *dims, F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 MONTH"))).alias("month"))
+    return _same(cal, agg, [*dims, "month"], ["total_searches", "total_clicks"])
+
 
+def _same(left: DataFrame, right: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
+    """Null-safe left join that adds ``cols``."""
+    r = right.select(*[F.col(k).alias(f"_{k}") for k in keys], *cols)
+    on = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    return left.join(r, on, "left").drop(*[f"_{k}" for k in keys])
 
-def _with_previous(m: DataFrame, cols: list[str]) -> DataFrame:
-    prev = m.select(F.add_months("month", 1).alias("month"),
-                    *[F.col(c).alias(f"prev_{c}") for c in cols])
-    return m.join(prev, "month", "left")
 
+def _with_previous(m: DataFrame, cols: list[str], dims: list[str]) -> DataFrame:
+    prev = m.select(*dims, F.add_months("month", 1).alias("month"), *[F.col(c).alias(f"prev_{c}") for c in cols])
+    return _same(m, prev, [*dims, "month"], [f"prev_{c}" for c in cols])
 
-def engagement_mom(events: DataFrame) -> DataFrame:
-    """Monthly engagement rate, previous month's, change and change %."""
-    m = monthly_base(events).withColumn("engagement_rate", ratio0("total_clicks", "total_searches"))
-    j = _with_previous(m, ["engagement_rate"])
+
+def engagement_mom(events: DataFrame, dims: list[str] | None = None) -> DataFrame:
+    """M24–M26 per ``dims``: monthly engagement rate, previous month's, change and change %."""
+    dims = dims or []
+    m = monthly_base(events, dims).withColumn("engagement_rate", ratio0("total_clicks", "total_searches"))
+    j = _with_previous(m, ["engagement_rate"], dims)
     prev = F.coalesce(F.col("prev_engagement_rate"), F.lit(0.0))
     change = F.col("engagement_rate") - prev
-    return j.select("month", "engagement_rate", prev.alias("engagement_rate_previous"),
+    return j.select(*dims, "month", "engagement_rate", prev.alias("engagement_rate_previous"),
                     change.alias("engagement_rate_change"),
-                    ratio0(change, prev).alias("engagement_rate_change_pct")).orderBy("month")
+                    ratio0(change, prev).alias("engagement_rate_change_pct")).orderBy(*dims, "month")
 
 
-def searches_mom(events: DataFrame) -> DataFrame:
-    """Month-over-month growth of searches (BLANK months count as 0)."""
-    j = _with_previous(monthly_base(events), ["total_searches"])
+def searches_mom(events: DataFrame, dims: list[str] | None = None) -> DataFrame:
+    """M27 per ``dims``: month-over-month growth of searches (BLANK months count as 0)."""
+    dims = dims or []
+    j = _with_previous(monthly_base(events, dims), ["total_searches"], dims)
     cur = F.coalesce(F.col("total_searches"), F.lit(0))
     prev = F.coalesce(F.col("prev_total_searches"), F.lit(0))
-    return j.select("month", "total_searches",
+    return j.select(*dims, "month", "total_searches",
                     F.col("prev_total_searches").alias("previous_total_searches"),
-                    ratio0(cur - prev, F.col("prev_total_searches")).alias("mom_growth")).orderBy("month")
+                    ratio0(cur - prev, F.col("prev_total_searches")).alias("mom_growth")).orderBy(*dims, "month")
 
 
 # ------------------------------------------------------------ M35

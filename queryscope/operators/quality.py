@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from queryscope.functions import vocab as V
-from queryscope.functions.exprs import pct2
+from queryscope.functions.exprs import money_avg, pct2
 
 
 def _status(ok) -> F.Column:
@@ -62,22 +62,17 @@ def dq_nulls(fact: DataFrame) -> DataFrame:
     )
 
 
-def imputation_summary(enriched: DataFrame) -> DataFrame:
+def imputation_summary(groups: DataFrame) -> DataFrame:
     """Per (region, product) with at least one NULL sale: counts, NULL %, mean, sample.
 
-    ``enriched`` is ``impute.impute_sales(..., keep_original=True)``.  The
-    group's mean is constant within the group, so its average is the mean
-    itself, recomputed from the exact decimal total.
+    ``groups``: ``impute.sales_groups`` of the sales.  NULL keys match no
+    mean in the enriched table, so their mean and sample are NULL.
     """
-    g = enriched.groupBy("region", "product_id").agg(
-        F.count(F.lit(1)).alias("total_records"),
-        F.sum(F.when(F.col("original_sales_value").isNull(), 1).otherwise(0)).alias("null_count"),
-        F.max("regional_product_avg").alias("avg_sales"),
-        F.min("regional_sample_size").alias("min_sample_size"),
-    )
-    return g.filter(F.col("null_count") > 0).select(
-        "region", "product_id", "total_records", "null_count",
-        pct2("null_count", "total_records").alias("null_percentage"),
-        "avg_sales", "min_sample_size",
+    known = F.col("rows") - F.col("null_sales_count")
+    matched = F.col("region").isNotNull() & F.col("product_id").isNotNull() & (known > 0)
+    return groups.filter(F.col("null_sales_count") > 0).select(
+        "region", "product_id", F.col("rows").alias("total_records"), F.col("null_sales_count").alias("null_count"),
+        pct2("null_sales_count", "rows").alias("null_percentage"),
+        F.when(matched, money_avg("total", known)).alias("avg_sales"),
+        F.when(matched, known).alias("min_sample_size"),
     ).orderBy(F.col("null_percentage").desc(), "region", "product_id")
-

@@ -12,6 +12,7 @@ REPORT_START = _dt.date(2024, 1, 5)
 REPORT_END = _dt.date(2024, 1, 25)
 ETL_PROCESSED_AT = _dt.datetime(2024, 1, 16, 2, 0, 0)
 RETENTION_AS_OF = _dt.date(2024, 2, 28)   # 3-month raw horizon: keeps >= 2023-11-28
+RETENTION_CURATED_AS_OF = _dt.date(2025, 1, 28)   # 13 months: keeps >= 2023-12-28
 RETENTION_CUTOFF = _dt.date(2023, 11, 28)
 
 

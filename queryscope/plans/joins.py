@@ -11,60 +11,30 @@ def _bucket(day: Column, width: int) -> Column:
 
 
 def range_left_join(left: DataFrame, right: DataFrame, key: str, left_day: str, right_day: str,
-                    lo: int, hi: int, right_key: str | None = None,
-                    left_id: list[str] | None = None, hot_threshold: int | None = None) -> DataFrame:
+                    lo: int, hi: int, right_key: str | None = None) -> DataFrame:
     """``left LEFT JOIN right ON key = key AND right_day BETWEEN left_day+lo AND left_day+hi``.
 
     The day range becomes part of the equi-join key: days are cut into
     buckets of ``hi - lo + 1`` days, every left row lands in exactly one
     bucket and every right row is copied into the (at most two) buckets
-    whose left days can reach it.  Each matching pair therefore meets in
-    exactly one bucket and an unmatched left row is null-extended exactly
-    once, so the result equals the plain range join.  A hot key is spread
-    over its time buckets instead of one reducer.
+    whose left days can reach it, so each matching pair meets once and a
+    hot key is spread over its time buckets.
 
-    AQE splits skewed partitions of the LEFT side of a left join, not of
-    the right side.  With ``hot_threshold`` (and ``left_id``, columns that
-    identify a left row), (key, bucket) cells holding more than that many
-    right rows are joined separately as an INNER join, which AQE may split
-    on either side, and their unmatched left rows are null-extended through
-    an anti join on ``left_id``.  The hot-cell list has at most
-    ``rows(right) / hot_threshold`` entries, which bounds its broadcast;
-    when it is empty (checked first) the plain plan is used.
+    One plan serves every size.  Matches come from an inner join, of which
+    AQE may split a skewed partition on either side; rows without a match
+    come from an anti join against the distinct (key, day) pairs of the
+    right side, which are as few as the days a key occurs on.
     """
     width = hi - lo + 1
     rk = right_key or key
     rd = F.col(right_day)
     buckets = F.array_distinct(F.array(_bucket(F.date_sub(rd, hi), width),
                                        _bucket(F.date_sub(rd, lo), width)))
-    r = right.withColumn("_rbucket", F.explode(buckets)).withColumnRenamed(rk, "_rkey")
+    helper = ["_lbucket", "_rbucket", "_rkey"]
     lft = left.withColumn("_lbucket", _bucket(F.col(left_day), width))
+    reach = lambda df: df.withColumn("_rbucket", F.explode(buckets)).withColumnRenamed(rk, "_rkey")
     cond = ((F.col(key) == F.col("_rkey")) & (F.col("_lbucket") == F.col("_rbucket"))
             & rd.between(F.date_add(F.col(left_day), lo), F.date_add(F.col(left_day), hi)))
-    helper = ["_lbucket", "_rbucket", "_rkey"]
-    if hot_threshold is None:
-        return lft.join(r, cond, "left").drop(*helper)
-    if not left_id:
-        raise ValueError("hot-key splitting needs left_id (columns identifying a left row)")
-
-    cells = (r.groupBy("_rkey", "_rbucket").agg(F.count(F.lit(1)).alias("_n"))
-              .filter(F.col("_n") > hot_threshold)
-              .select(F.col("_rkey").alias("_hkey"), F.col("_rbucket").alias("_hbucket")))
-    if cells.isEmpty():
-        # No hot cell (one partial aggregation over the right side decides):
-        # the plain bucketed left join, left-side skew is split by AQE.
-        return lft.join(r, cond, "left").drop(*helper)
-    hot = F.broadcast(cells)
-    on_l = (F.col(key) == F.col("_hkey")) & (F.col("_lbucket") == F.col("_hbucket"))
-    on_r = (F.col("_rkey") == F.col("_hkey")) & (F.col("_rbucket") == F.col("_hbucket"))
-    cold = lft.join(hot, on_l, "left_anti").join(r.join(hot, on_r, "left_anti"), cond, "left")
-    l_hot = lft.join(hot, on_l, "left_semi")
-    matched = l_hot.join(r.join(hot, on_r, "left_semi"), cond, "inner")
-    hit = matched.select(*[F.col(c).alias(f"_hit_{c}") for c in left_id]).distinct()
-    same = None
-    for c in left_id:
-        e = F.col(c).eqNullSafe(F.col(f"_hit_{c}"))
-        same = e if same is None else same & e
-    missed = l_hot.join(hit, same, "left_anti")
-    return (cold.unionByName(matched).unionByName(missed, allowMissingColumns=True)
-                .drop(*helper))
+    matched = lft.join(reach(right), cond, "inner")
+    missed = lft.join(reach(right.select(rk, right_day).distinct()), cond, "left_anti")
+    return matched.unionByName(missed, allowMissingColumns=True).drop(*helper)

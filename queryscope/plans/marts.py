@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from queryscope.functions.exprs import ratio0
 from queryscope.operators import impute, measures as M, zero
 
 
@@ -30,12 +31,11 @@ def behavior_mart(events: DataFrame, zero_loaded: DataFrame) -> dict[str, DataFr
 def regional_mart(events: DataFrame, sales: DataFrame) -> DataFrame:
     """M38 (page 3): Regional Search Volume, Sales per Search, Data Quality Status by region.
 
-    A region present on one side only still gets a row: its missing measures
+    One grouped pass over the sales serves the totals and the quality.  A
+    region present on one side only still gets a row: its missing measures
     are BLANK, and a region without sales rows has NULL share 0 (Complete).
     """
-    sps = M.sales_per_search(impute.regional_sales_clean(sales), events)
-    dq = M.sales_quality(sales, ["region"]).select(
-        F.col("region").alias("_qregion"), F.col("null_sales_pct").alias("_pct"))
-    j = sps.join(dq, sps["region"].eqNullSafe(dq["_qregion"]), "left")
-    return j.select("region", "regional_search_volume", "sales_per_search",
-                    M.data_quality_status(F.coalesce("_pct", F.lit(0.0))).alias("data_quality_status"))
+    sps = M.sales_per_search(impute.sales_groups(sales), events)
+    pct = F.coalesce(ratio0("null_sales_count", "rows"), F.lit(0.0))
+    return sps.select("region", "regional_search_volume", "sales_per_search",
+                      M.data_quality_status(pct).alias("data_quality_status"))

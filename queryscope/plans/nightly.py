@@ -39,7 +39,7 @@ def run_nightly(spark: SparkSession, raw: DataFrame, orders: DataFrame, fact_pat
     step restarts from storage, not from the raw export.
 
     ``table_name`` also registers the fact in the catalog (A6, created only
-    if absent).  ``attribution_days`` > 1 re-attributes a trailing range of data dates
+    if absent) and shows it the loaded partition.  ``attribution_days`` > 1 re-attributes a trailing range of data dates
     (orders arrive after the search; a nightly run sees only orders up to
     the run date, so late orders are picked up by re-running the range).
     """
@@ -53,6 +53,8 @@ def run_nightly(spark: SparkSession, raw: DataFrame, orders: DataFrame, fact_pat
     if table_name:
         etl.create_fact_table(spark, fact_path, table_name)
     etl.incremental_load(categorized, fact_path, as_of)
+    if table_name:
+        etl.sync_fact_table(spark, table_name)
     source_rows = seen.get["n"]
     day = as_of - _dt.timedelta(days=1)
     first = day - _dt.timedelta(days=attribution_days - 1)

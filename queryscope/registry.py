@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,10 +21,12 @@ from queryscope.operators import measures as M
 from queryscope.operators import metrics as C
 from queryscope.operators import zero as Z
 from queryscope.params import (AS_OF_30D, AS_OF_ETL, ETL_PROCESSED_AT, REPORT_END, REPORT_START,
-                               RETENTION_AS_OF)
+                               RETENTION_AS_OF, RETENTION_CURATED_AS_OF)
 from queryscope.plans import marts, nightly
 from queryscope.session import shared_path
 from queryscope.sources import fixtures as fx
+from queryscope.sources.sinks import export_csv, write_table
+from queryscope.streaming.ingest import start_incremental_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -89,26 +92,49 @@ def _a1(spark, sf):
 
 @register("flatten_event_params")
 def _b1(spark, sf):
-    return etl.flatten_event_params(etl.scan_daily_shard(_etl_day(spark, sf), AS_OF_ETL))
+    return etl.flatten_event_params(_etl_day(spark, sf))
 
 
 @register("dedupe_events")
 def _b2(spark, sf):
-    raw = _etl_day(spark, sf, dups=True)
-    return etl.dedupe_events(etl.flatten_event_params(etl.scan_daily_shard(raw, AS_OF_ETL)))
+    return etl.dedupe_events(etl.flatten_event_params(_etl_day(spark, sf, dups=True)))
 
 
 @register("categorize_events")
 def _b3(spark, sf):
-    _, cat = nightly.build_fact_input(_etl_day(spark, sf, dups=True), AS_OF_ETL, ETL_PROCESSED_AT)
-    return cat
+    return nightly.build_fact_input(_etl_day(spark, sf, dups=True), None, ETL_PROCESSED_AT)[1]
 
 
 @register("fact_roundtrip")
 def _a6(spark, sf):
     path = shared_path(spark, "search_events_fact")
-    _, cat = nightly.build_fact_input(_etl_day(spark, sf, dups=True), AS_OF_ETL, ETL_PROCESSED_AT)
-    etl.incremental_load(cat, path, AS_OF_ETL)
+    _backfill_fact(spark, sf).write.partitionBy("data_date").parquet(path)
+    return etl.read_fact(spark, path)
+
+
+@register("fact_table")
+def _a6_table(spark, sf):
+    """Two nights loaded into a catalog table, read by its name."""
+    path, name = shared_path(spark, "search_events_fact"), f"search_events_fact_{uuid.uuid4().hex[:8]}"
+    etl.create_fact_table(spark, path, name)
+    raw = _etl_day(spark, sf, dups=True)
+    for as_of in (AS_OF_ETL, AS_OF_ETL + _dt.timedelta(days=1)):
+        stamp = _dt.datetime.combine(as_of, ETL_PROCESSED_AT.time())
+        etl.incremental_load(nightly.build_fact_input(raw, as_of, stamp)[1], path, as_of)
+    etl.sync_fact_table(spark, name)
+    return spark.table(name)
+
+
+@register("incremental_load_late")
+def _b4_late(spark, sf):
+    """Every day arrives in two files on two nights, the second exported twice."""
+    raw = _etl_day(spark, sf)
+    landing, path, seen = (shared_path(spark, x) for x in ("landing", "search_events_fact", "ingest-checkpoint"))
+    early = F.col("event_timestamp") % 3 == 0
+    for name, rows in (("a", raw.filter(early)), ("b", raw.filter(~early)), ("c", raw.filter(~early))):
+        rows.write.parquet(f"{landing}/{name}")
+        if name != "b":
+            start_incremental_ingest(spark, landing, path, seen, ETL_PROCESSED_AT).awaitTermination()
     return etl.read_fact(spark, path)
 
 
@@ -131,6 +157,33 @@ def _b5(spark, sf):
                                 months=V.RETENTION_RAW_MONTHS, date_col="event_date")
 
 
+@register("retention_curated")
+def _b5_curated(spark, sf):
+    """Expired partitions are removed; what is left of the table is read."""
+    path = shared_path(spark, "search_events_fact")
+    fx.monthly_events(spark, sf).withColumn("data_date", F.col("event_date")).select(
+        "event_date", "event_timestamp", "event_name", "user_pseudo_id", "data_date").write.partitionBy("data_date").parquet(path)
+    etl.expire_partitions(spark, path, RETENTION_CURATED_AS_OF)
+    return spark.read.parquet(path).withColumn("data_date", F.col("data_date").cast("date"))
+
+
+@register("replace_table")
+def _a7(spark, sf):
+    """The daily mart replaces an older table of the same place."""
+    path = shared_path(spark, "search_metrics_daily")
+    write_table(C.daily_refinement_rate(fx.canonical_events(spark, sf)), path)
+    write_table(C.daily_engagement_rate(fx.canonical_events(spark, sf)), path)
+    return spark.read.parquet(path)
+
+
+@register("csv_export")
+def _a8(spark, sf):
+    path = shared_path(spark, "engagement_csv")
+    daily = E.engagement_daily(_loaded(spark, sf))
+    export_csv(daily, path)
+    return spark.read.schema(daily.schema).option("header", True).csv(path)
+
+
 @register("search_order_attribution")
 def _b6(spark, sf):
     return etl.search_order_attribution(_backfill_fact(spark, sf), fx.orders(spark, sf))
@@ -185,12 +238,12 @@ def _i3(spark, sf):
 
 @register("total_sales_cleaned")
 def _i4(spark, sf):
-    return impute.total_sales_cleaned(impute.regional_sales_clean(fx.sales(spark, sf)), ["region"])
+    return impute.total_sales_cleaned(impute.sales_groups(fx.sales(spark, sf)), ["region"])
 
 
 @register("imputation_summary")
 def _d4(spark, sf):
-    return quality.imputation_summary(impute.impute_sales(fx.sales(spark, sf), keep_original=True))
+    return quality.imputation_summary(impute.sales_groups(fx.sales(spark, sf)))
 
 
 @register("sales_quality")
@@ -347,8 +400,8 @@ def _m22(spark, sf):
 
 @register("sales_per_search")
 def _m23(spark, sf):
-    return M.sales_per_search(impute.regional_sales_clean(fx.sales(spark, sf)),
-                              fx.canonical_events(spark, sf))
+    return M.sales_per_search(impute.sales_groups(fx.sales(spark, sf)),
+                              fx.canonical_events(spark, sf)).drop("null_sales_count", "rows")
 
 
 @register("engagement_mom")
@@ -388,6 +441,38 @@ def _m37(spark, sf):
     return marts.behavior_mart(fx.canonical_events(spark, sf), _zero(spark, sf))["click_distribution"]
 
 
+@register("mart_behavior_zero_rate")
+def _m37_rate(spark, sf):
+    return marts.behavior_mart(fx.canonical_events(spark, sf), _zero(spark, sf))["zero_result_rate"]
+
+
+@register("mart_behavior_top_terms")
+def _m37_terms(spark, sf):
+    return marts.behavior_mart(fx.canonical_events(spark, sf), _zero(spark, sf))["top_zero_result_terms"]
+
+
+@register("mom_by_region")
+def _mom_region(spark, sf):
+    ev = fx.monthly_events(spark, sf)
+    return M.engagement_mom(ev, ["region"]).join(
+        M.searches_mom(ev, ["region"]), ["region", "month"])
+
+
+@register("conversion_by_device")
+def _conversion_device(spark, sf):
+    return M.search_conversion_rate(fx.canonical_events(spark, sf), fx.orders(spark, sf), ["device_category"])
+
+
+@register("dq_clean")
+def _dq_clean(spark, sf):
+    """The three checks on curated rows, which pass them."""
+    flat = etl.flatten_event_params(_etl_day(spark, sf, dups=True))
+    clean = etl.dedupe_events(flat)
+    checks = [quality.dq_duplicates(clean), quality.dq_record_count(clean, clean), quality.dq_nulls(clean)]
+    return checks[0].select("check_name", "status").unionByName(checks[1].select("check_name", "status")).unionByName(
+        checks[2].select("check_name", "status"))
+
+
 @register("mart_regional")
 def _m38(spark, sf):
     return marts.regional_mart(fx.canonical_events(spark, sf), fx.sales(spark, sf))

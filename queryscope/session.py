@@ -44,25 +44,26 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         spark.sparkContext.setLogLevel("ERROR")
     except Exception:  # noqa: BLE001 - Spark Connect
         pass
-    shared_dir(spark)
     return spark
 
 
-def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+def scale_conf(input_bytes: int, total_cores: int, shuffle_share: float = 0.1,
+               target_partition_bytes: int = 256 << 20) -> dict:
     """Shuffle sizing for a cluster run over ``input_bytes`` of input.
 
-    Start with enough shuffle partitions that each holds about
-    ``target_partition_bytes`` of the widest shuffle (bounded below by two
-    waves of tasks) and let AQE coalesce small ones to the advisory size
-    and split skewed join partitions.  File splits stay at 128 MB.
+    Shuffles carry a share of the input (columns are pruned and groups
+    combined before them); there are enough partitions for about
+    ``target_partition_bytes`` each, but between 2 and 8 per core: map
+    tasks times partitions are blocks that the driver tracks.  AQE
+    coalesces small partitions and splits skewed join partitions.
     """
-    parts = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    parts = min(8 * total_cores, max(2 * total_cores, -(-int(input_bytes * shuffle_share) // target_partition_bytes)))
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
-        "spark.sql.files.maxPartitionBytes": str(128 << 20),
+        "spark.sql.files.maxPartitionBytes": str(512 << 20),
     }
 
 
@@ -70,11 +71,14 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the deployment (HDFS/S3/…) and is only read
-    here.  Only when it is unset (local tests) a scratch folder is created
-    and registered.
+    here; without it a job that needs the folder fails.  Only a local
+    session (tests) gets a scratch folder of its own.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.conf.get("spark.master", "local")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="queryscope-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     try:

@@ -18,11 +18,13 @@ from queryscope.functions.exprs import click_position_of, epoch_micros, region_o
 from queryscope.sources.tables import read_table
 
 # --- fixed values: fixture derivation rules ---------------------------------
-FIXTURE_PART_KEYS = 200          # events pick part p_partkey = event_id % 200
-LABEL_SUFFIXES = "default,auto suggestion,keyword box,voice"
-COUNTRIES = "US,CA,GB,DE,SE,FR,IT,ES,CN,JP,KR,BR,AU,"
-DEVICES = "desktop,mobile,tablet"
-SOURCES = "google,direct,email,(none)"
+MODEL_NUMBER_EVERY = 16          # one part in 16 is searched with its number, so terms grow with part
+LABEL_SUFFIXES = [*(kind for kind, _ in V.SEARCH_TYPE_SUFFIXES), "voice"]
+COUNTRIES = [*(code for _, codes in V.REGION_COUNTRIES for code in codes), "BR", "AU", ""]
+DEVICES = ["desktop", "mobile", "tablet"]
+SOURCES = ["google", "direct", "email", "(none)"]
+BUYER_STEP = 3                   # customer c orders as user 3c: two users in three never buy
+SALES_REGIONS = {"AMERICA": "North America", "EUROPE": "Europe", "ASIA": "Asia", "AFRICA": "Other", "MIDDLE EAST": "Other"}
 ORDER_EPOCH = _dt.date(2024, 1, 1)
 MONTHLY_EPOCH = _dt.date(2023, 10, 1)
 
@@ -33,8 +35,8 @@ SEARCH_EVENT_COLUMNS = [
 ]
 
 
-def _pick(csv: str, idx) -> F.Column:
-    return F.split_part(F.lit(csv), F.lit(","), idx.cast("int"))
+def _pick(values: list[str], idx) -> F.Column:
+    return F.element_at(F.array(*[F.lit(v) for v in values]), idx.cast("int"))
 
 
 def search_events(spark: SparkSession, sf_dir: str, with_id: bool = False) -> DataFrame:
@@ -43,11 +45,12 @@ def search_events(spark: SparkSession, sf_dir: str, with_id: bool = False) -> Da
         "event_id", "ts", "user_id", "event_type",
         F.regexp_extract("props", "[0-9]+", 0).cast("int").alias("k"),
     )
-    # p_partkey is the primary key of part, so the filtered side holds at most
-    # FIXTURE_PART_KEYS rows at every scale: a proven broadcast bound.
-    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name").filter(
-        (F.col("p_partkey") >= 0) & (F.col("p_partkey") < FIXTURE_PART_KEYS))
-    e = ev.join(F.broadcast(part), F.col("p_partkey") == F.col("event_id") % FIXTURE_PART_KEYS)
+    # keys of part run from 0: every part is searched, an ordinary join over both tables
+    part = read_table(spark, sf_dir, "part").select("p_partkey", F.when(
+        F.col("p_partkey") % MODEL_NUMBER_EVERY == 0, F.concat("p_name", F.lit(" "), F.col("p_partkey").cast("string")))
+        .otherwise(F.col("p_name")).alias("p_name"))
+    parts = read_table(spark, sf_dir, "part").agg(F.count(F.lit(1))).scalar()
+    e = ev.withColumn("part_key", F.col("event_id") % parts).join(part, F.col("p_partkey") == F.col("part_key"))
 
     k, et, p = F.col("k"), F.col("event_type"), F.col("p_name")
     uid = F.col("user_id").cast("string")
@@ -125,7 +128,7 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders")
     return o.select(
         F.col("o_orderkey").alias("order_id"),
-        F.concat(F.lit("u"), F.col("o_custkey").cast("string")).alias("user_pseudo_id"),
+        F.concat(F.lit("u"), (F.col("o_custkey") * BUYER_STEP).cast("string")).alias("user_pseudo_id"),
         F.date_add(F.lit(ORDER_EPOCH), (F.col("o_orderkey") * 7 % 45).cast("int")).alias("order_date"),
         F.col("o_totalprice").cast("decimal(18,2)").alias("order_value"),
         (F.col("o_orderkey") % 200).alias("product_id"),
@@ -148,11 +151,12 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
            .join(c, F.col("c_custkey") == F.col("o_custkey"))
            .join(F.broadcast(geo), F.col("n_nationkey") == F.col("c_nationkey"))
            .join(p, F.col("p_partkey") == F.col("l_partkey")))
+    region = F.create_map(*[F.lit(x) for pair in SALES_REGIONS.items() for x in pair])[F.col("r_name")]
     missing = ((F.col("l_orderkey") * 7 + F.col("l_linenumber") * 3) % 20 < 3) | (F.col("l_partkey") % 97 == 0)
     return j.select(
         F.col("l_orderkey").alias("order_id"),
         F.to_date("o_orderdate").alias("order_date"),
-        F.when(F.col("c_custkey") % 101 == 0, F.lit(None).cast("string")).otherwise(F.col("r_name")).alias("region"),
+        F.when(F.col("c_custkey") % 101 == 0, F.lit(None).cast("string")).otherwise(region).alias("region"),
         F.col("l_partkey").alias("product_id"),
         F.col("p_name").alias("product_name"),
         F.col("p_name").alias("search_term"),

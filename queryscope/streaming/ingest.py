@@ -2,12 +2,12 @@
 
 The nightly job's "only yesterday's shard" logic becomes a file stream over
 the landing folder: the checkpoint (in the cluster's shared folder) records
-which files were processed, so every new shard is loaded exactly once and
-a restarted or failed run resumes where it stopped.  Each micro-batch runs
-the batch operators (flatten -> dedupe -> categorize) and replaces the
-``data_date`` partitions it touches (dynamic overwrite), so a replayed
-batch is idempotent.  ``Trigger.AvailableNow`` gives the daily-batch
-cadence: process everything that landed, then stop.
+which files were processed.  A micro-batch says which days changed; each of
+these days is curated anew from all landed files (flatten -> dedupe ->
+categorize; the day filter reaches the scan) and its partition replaced.  So
+a day may arrive in any number of files, late or exported again, and a
+replayed batch gives the same partition.  ``Trigger.AvailableNow`` gives the
+daily-batch cadence: process everything that landed, then stop.
 """
 
 from __future__ import annotations
@@ -40,31 +40,38 @@ RAW_SCHEMA = T.StructType([
 ])
 
 
-def load_batch(batch: DataFrame, fact_path: str, processed_at: _dt.datetime) -> None:
-    """One micro-batch: curate its rows and replace their data_date partitions."""
-    flat = etl.flatten_event_params(batch)
+def load_batch(batch: DataFrame, landing: str, fact_path: str, processed_at: _dt.datetime) -> None:
+    """One micro-batch: rebuild the days it holds from the landing folder."""
+    spark = batch.sparkSession
+    days = [r["event_date"] for r in batch.select("event_date").distinct().collect()]  # days, not rows
+    if not days:
+        return
+    raw = landed(spark.read, landing).filter(F.col("event_date").isin(days))
+    flat = etl.flatten_event_params(raw)
     cat = etl.categorize_events(etl.dedupe_events(flat), None, processed_at)
     (etl.to_fact(cat, None).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("data_date").parquet(fact_path))
 
 
+def landed(reader, landing: str) -> DataFrame:
+    return reader.schema(RAW_SCHEMA).option("recursiveFileLookup", "true").parquet(landing)
+
+
 def start_incremental_ingest(spark: SparkSession, landing: str, fact_path: str,
                              checkpoint: str | None = None,
-                             processed_at: _dt.datetime | None = None) -> StreamingQuery:
+                             processed_at: _dt.datetime | None = None,
+                             max_files: int | None = None) -> StreamingQuery:
     """Start the AvailableNow stream from ``landing`` (parquet shards) into the fact.
 
-    Rows of one event day must arrive in one shard (as daily exports do):
-    the batch rewrites the whole ``data_date`` partition of the days it holds,
-    so no per-trigger file cap is offered (it could split a day's shard).
+    ``max_files`` caps the files of one micro-batch, not what is loaded.
     """
-    src = spark.readStream.schema(RAW_SCHEMA).option("recursiveFileLookup", "true").parquet(landing)
-    stamp = processed_at
+    reader = spark.readStream.option("maxFilesPerTrigger", max_files) if max_files else spark.readStream
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        load_batch(batch.select(*[F.col(f.name) for f in RAW_SCHEMA.fields]), fact_path,
-                   stamp or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None, microsecond=0))
+        load_batch(batch, landing, fact_path,
+                   processed_at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None, microsecond=0))
 
-    return (src.writeStream.foreachBatch(each)
+    return (landed(reader, landing).writeStream.foreachBatch(each)
                .option("checkpointLocation", checkpoint or shared_path(spark, "ingest-checkpoint"))
                .trigger(availableNow=True).start())

@@ -19,12 +19,12 @@ def test_run_nightly(spark, tmp_path):
     orders = fx.orders(spark, SF001)
     path = str(tmp_path / "fact")
     out = nightly.run_nightly(spark, raw, orders, path, AS_OF, STAMP, table_name="search_events_fact_t")
-    assert spark.catalog.tableExists("search_events_fact_t")
     day = AS_OF - dt.timedelta(days=1)
     _, cat = nightly.build_fact_input(raw, AS_OF, STAMP)
     want_fact = etl.to_fact(cat, AS_OF)
     assert Counter(out["fact"].collect()) == Counter(want_fact.collect())
     assert out["fact"].count() > 0
+    assert Counter(spark.table("search_events_fact_t").select(*want_fact.columns).collect()) == Counter(want_fact.collect())
     assert {r.status for r in out["dq_duplicates"].collect()} == {"PASS"}
     assert {r.status for r in out["dq_nulls"].collect()} == {"PASS"}
     rc = out["dq_record_count"].collect()[0]

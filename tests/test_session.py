@@ -1,5 +1,7 @@
 """Session helpers: shared folder comes from the cluster setting; shuffle sizing rule."""
 
+import pytest
+
 from queryscope.session import scale_conf, shared_dir, shared_path
 
 
@@ -10,8 +12,22 @@ def test_shared_dir_reads_existing_setting(spark):
 
 
 def test_scale_conf_partitions():
-    tb100 = 100 << 40
-    conf = scale_conf(tb100, total_cores=8000)
-    assert int(conf["spark.sql.shuffle.partitions"]) == tb100 // (256 << 20)   # 409,600
+    conf = scale_conf(100 << 40, total_cores=8000)
+    assert conf["spark.sql.shuffle.partitions"] == str((100 << 40) // 10 // (256 << 20))   # 10 TB shuffled: 40,960
+    assert scale_conf(100 << 40, total_cores=1000)["spark.sql.shuffle.partitions"] == "8000"   # no more than 8 a core
     assert scale_conf(1 << 20, total_cores=8)["spark.sql.shuffle.partitions"] == "16"
     assert conf["spark.sql.adaptive.coalescePartitions.parallelismFirst"] == "false"
+
+
+class _Session:
+    """A session on a cluster without the setting."""
+
+    class conf:
+        @staticmethod
+        def get(key, default=None):
+            return {"spark.master": "yarn"}.get(key, default)
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(_Session())
