@@ -37,15 +37,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from queryscope.llm.common import documents, ids_and_texts, per_text
-from queryscope.llm.passages import compact_windows
+from queryscope.llm.passages import compact_windows, runs_of, undealt
 from queryscope.llm.words import mix, powers
 
 LENGTH = 100
 Q = 20
 HOT = 256
 BUCKETS = 48          # at least; a bucket is sorted in one task
-HELD = 1_500_000     # anchors a task holds before it sends them
-HELD_BYTES = 24 << 20
+HELD = 500_000       # anchors a task holds before it sends them
+HELD_BYTES = 8 << 20
+REFINED = 1 << 20    # bytes that a task refines at a time
 SEED = np.uint64(0x8BB84B93962EACC9)
 
 
@@ -61,6 +62,7 @@ def grams(total: np.ndarray, at: np.ndarray, q: int) -> np.ndarray:
 
 
 ANCHOR = np.dtype([("value", "<u8"), ("pos", "<u4"), ("back", "u1"), ("ahead", "u1")])
+LISTED = np.dtype([*ANCHOR.descr, ("hot", "?")])
 
 
 def anchors_of(texts: list[bytes], length: int):
@@ -81,12 +83,6 @@ def anchors_of(texts: list[bytes], length: int):
     return own, g[first[own] + c], c, back, ahead
 
 
-def runs_of(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Equal neighbours: their id and how many."""
-    at = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
-    return ids[at], np.diff(np.append(at, len(ids))).astype(np.uint32)
-
-
 def dealt(w: np.ndarray, ids: np.ndarray, buckets: int):
     """(bucket, their places, records, ids and counts of runs of one document), records in their order."""
     bucket = (w["value"] % np.uint64(buckets)).astype(np.int32)
@@ -98,13 +94,10 @@ def dealt(w: np.ndarray, ids: np.ndarray, buckets: int):
             yield i, part, w[part], *runs_of(ids[part])
 
 
-def undealt(row_ids, row_counts) -> np.ndarray:
-    return np.repeat(np.frombuffer(row_ids.as_buffer(), dtype=np.int64), np.frombuffer(row_counts.as_buffer(), dtype=np.uint32))
-
-
 def repeated_anchors(docs: DataFrame, buckets: int, length: int) -> DataFrame:
-    """doc_id, value, pos, back, ahead, n of the anchors whose gram is the anchor of two places or more (n places)."""
+    """doc_id, at: packed LISTED records of the anchors whose gram is the anchor of two places or more."""
     schema = pa.schema([("bucket", pa.int32()), ("anchors", pa.binary()), ("ids", pa.binary()), ("counts", pa.binary())])
+    hot = HOT
 
     def send(held):
         w, ids = np.concatenate([h for h, _ in held]), np.concatenate([i for _, i in held])
@@ -129,8 +122,7 @@ def repeated_anchors(docs: DataFrame, buckets: int, length: int) -> DataFrame:
         if n:
             yield from send(held)
 
-    names = ["doc_id", "value", "pos", "back", "ahead", "n"]
-    out = pa.schema([(c, pa.int64() if i < 2 else pa.int32()) for i, c in enumerate(names)])
+    out = pa.schema([("doc_id", pa.int64()), ("at", pa.binary())])
 
     def count(table: pa.Table) -> pa.Table:
         ws, ds = [], []
@@ -155,12 +147,21 @@ def repeated_anchors(docs: DataFrame, buckets: int, length: int) -> DataFrame:
             return out.empty_table()
         start = np.flatnonzero(np.concatenate([[True], w["value"][1:] != w["value"][:-1]]))
         n = np.repeat(np.diff(np.append(start, len(w))), np.diff(np.append(start, len(w))))
-        k = n > 1
-        return pa.table([d[k], w["value"][k].view(np.int64), w["pos"][k].astype(np.int32), w["back"][k].astype(np.int32),
-                         w["ahead"][k].astype(np.int32), n[k].astype(np.int32)], schema=out)
+        k = np.flatnonzero(n > 1)
+        k = k[np.argsort(d[k], kind="stable")]
+        if not len(k):
+            return out.empty_table()
+        x = np.zeros(len(k), dtype=LISTED)
+        for c in ("value", "pos", "back", "ahead"):
+            x[c] = w[c][k]
+        x["hot"] = n[k] > hot
+        own, many = runs_of(d[k])
+        offsets = np.append(0, np.cumsum(many.astype(np.int64))) * LISTED.itemsize
+        at = pa.Array.from_buffers(pa.binary(), len(own), [None, pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(x.tobytes())])
+        return pa.table([own, at], schema=out)
 
     sent = docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(emit, "bucket int, anchors binary, ids binary, counts binary")
-    return sent.groupBy("bucket").applyInArrow(count, "doc_id long, value long, pos int, back int, ahead int, n int")
+    return sent.groupBy("bucket").applyInArrow(count, "doc_id long, at binary")
 
 
 WHOLE = np.dtype([("value", "<u8"), ("pos", "<u4")])
@@ -168,7 +169,7 @@ WHOLE = np.dtype([("value", "<u8"), ("pos", "<u4")])
 
 def strings_around(texts: DataFrame, anchors: DataFrame, buckets: int, length: int) -> DataFrame:
     """The bytes around each repeated anchor, dealt out by its gram; whole strings of frequent ones by their hash."""
-    lists = anchors.groupBy("doc_id").agg(F.collect_list(F.struct("value", "pos", "back", "ahead", "n")).alias("at"))
+    lists = anchors.groupBy("doc_id").agg(F.collect_list("at").alias("at"))
     joined = texts.join(lists, "doc_id").select("doc_id", "text", "at")
     schema = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("records", pa.binary()), ("ids", pa.binary()), ("counts", pa.binary()), ("bytes", pa.binary())])
 
@@ -203,20 +204,20 @@ def strings_around(texts: DataFrame, anchors: DataFrame, buckets: int, length: i
             for i in range(b.num_rows):
                 doc = b.column(0)[i].as_py()
                 text = b.column(1)[i].as_py().encode("utf-8", "surrogatepass")
-                v = b.column(2)[i].values
-                pos, back, ahead, n = (v.field(k).to_numpy().astype(np.int64) for k in ("pos", "back", "ahead", "n"))
-                value = v.field("value").to_numpy().view(np.uint64)
+                v = np.frombuffer(b"".join(b.column(2)[i].as_py()), dtype=LISTED)
+                pos, back, ahead = (v[k].astype(np.int64) for k in ("pos", "back", "ahead"))
+                value, hot_ = v["value"], v["hot"]
                 total = gram_sums(np.frombuffer(text, dtype=np.uint8))
                 real = (pos - ahead + length <= len(text)) & (pos + Q <= len(text))  # a repeated id may have another text
                 real[real] = grams(total, pos[real], Q) == value[real]
-                c = np.flatnonzero(real & (n <= HOT))
+                c = np.flatnonzero(real & ~hot_)
                 if len(c):
                     w = np.zeros(len(c), dtype=ANCHOR)
                     w["value"], w["pos"], w["back"], w["ahead"] = value[c], pos[c], back[c], ahead[c]
                     raw = [text[p - k:p - a + length] for p, k, a in zip(pos[c].tolist(), back[c].tolist(), ahead[c].tolist())]
                     cold.append((w, np.full(len(c), doc, dtype=np.int64), raw))
                     held += sum(map(len, raw))
-                h = np.flatnonzero(real & (n > HOT))
+                h = np.flatnonzero(real & hot_)
                 if len(h):
                     many = back[h] - ahead[h] + 1
                     s = np.repeat(pos[h] - back[h], many) + (np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many))
@@ -302,9 +303,19 @@ def spans(strings: DataFrame, length: int) -> DataFrame:
                 docs.append(d)
                 starts.append(w["pos"].astype(np.int64))
         if cold_w:
-            a, b = starts_again(np.concatenate(cold_w), np.concatenate(cold_d), raw, length)
-            docs.append(a)
-            starts.append(b)
+            w, d = np.concatenate(cold_w), np.concatenate(cold_d)
+            order = np.argsort(w["value"], kind="stable")
+            value = w["value"][order]
+            size = np.cumsum([len(raw[i]) for i in order.tolist()])
+            at = 0
+            while at < len(order):  # whole anchors, as many as fit
+                end = int(np.searchsorted(size, (size[at - 1] if at else 0) + REFINED, side="right"))
+                end = int(np.searchsorted(value, value[max(at, min(end, len(order) - 1))], side="right"))
+                part = order[at:end]
+                a, b = starts_again(w[part], d[part], [raw[i] for i in part.tolist()], length)
+                docs.append(a)
+                starts.append(b)
+                at = end
         if hot_w:
             w, d = np.concatenate(hot_w), np.concatenate(hot_d)
             order = np.lexsort((w["pos"], d, w["value"]))
@@ -371,3 +382,22 @@ def op7(spark, sf_dir: str) -> DataFrame:
         "doc_id", "n_bytes",
         F.aggregate("removed", F.lit(0).cast("long"), lambda a, x: a + x["to"] - x["from"]).alias("n_removed"),
         F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP7_SQL = """
+WITH t AS (SELECT doc_id, hex(encode(min(coalesce(text, '')))) AS h FROM documents WHERE doc_id IS NOT NULL GROUP BY doc_id),
+p AS (SELECT doc_id, i, md5(substr(h, 2 * i + 1, 200)) AS m FROM (
+  SELECT doc_id, h, unnest(range(0, len(h) // 2 - 99)) AS i FROM t WHERE len(h) >= 200)),
+k AS (SELECT doc_id, i, row_number() OVER (PARTITION BY m ORDER BY doc_id, i) AS k FROM p),
+f AS (SELECT doc_id, i, CASE WHEN i > 100 + lag(i) OVER (PARTITION BY doc_id ORDER BY i) THEN 1 ELSE 0 END AS fresh FROM k WHERE k > 1),
+g AS (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM f),
+r AS (SELECT doc_id, min(i) AS a, max(i) + 100 AS b FROM g GROUP BY doc_id, run),
+l AS (SELECT doc_id, list(a ORDER BY a) AS a, list(b ORDER BY a) AS b FROM r GROUP BY doc_id),
+d AS (SELECT t.doc_id, h, len(h) // 2 AS n, coalesce(a, []) AS a, coalesce(b, []) AS b FROM t LEFT JOIN l ON l.doc_id = t.doc_id
+  UNION ALL SELECT doc_id, hex(encode(coalesce(text, ''))), strlen(coalesce(text, '')), [], [] FROM documents WHERE doc_id IS NULL)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(list_sum(b), 0) - coalesce(list_sum(a), 0) AS BIGINT) AS n_removed,
+  CAST(len(a) AS BIGINT) AS n_spans,
+  sha256(unhex(array_to_string(list_transform(range(1, len(a) + 2), lambda j:
+    substr(h, 2 * coalesce(b[j - 1], 0) + 1, 2 * (coalesce(a[j], n) - coalesce(b[j - 1], 0)))), ''))) AS kept_sha256
+FROM d
+"""
