@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -21,6 +22,18 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Arrow batches of at most ``rows`` rows while a job runs: whole texts are long rows."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(min(rows, int(old)) if int(old) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet in the cluster's shared folder and read back.
 
@@ -29,7 +42,8 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = shared_path(spark, name)
-    df.write.parquet(path)
+    with small_batches(spark):
+        df.write.parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     back._stored_at = path
     return back

@@ -177,3 +177,32 @@ def op10(spark, sf_dir: str) -> DataFrame:
     done = drop_lines(documents(spark, sf_dir).select("doc_id", "text"))
     return done.select("doc_id", F.col("__lines").alias("n_lines"), F.col("__dropped").alias("n_dropped"),
                        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+OP10_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+l AS (SELECT rid, doc_id, text, unnest(x) AS line, unnest(range(len(x))) AS pos
+  FROM (SELECT *, CASE WHEN text = '' THEN [] ELSE string_split(text, chr(10)) END AS x FROM d)),
+m AS (SELECT rid, doc_id, text, line, pos, list_transform(regexp_extract_all(line, '\\S+'),
+  lambda w: CASE WHEN regexp_matches(w, '\\d') THEN '<*>' ELSE w END) AS m FROM l),
+often AS (SELECT n, lead FROM (SELECT DISTINCT rid, len(m) AS n, m[1:{DEPTH}] AS lead FROM m WHERE len(m) > 0)
+  GROUP BY n, lead HAVING count(*) >= {MIN_DOCS}),
+u AS (SELECT m, count(DISTINCT text) AS c FROM m WHERE len(m) > 0 GROUP BY m),
+f AS (SELECT u.m, u.c, n, lead FROM u JOIN often ON len(u.m) = n AND u.m[1:{DEPTH}] = lead),
+t AS (SELECT m, c, n, lead, unnest(m) AS w, unnest(range(n)) AS i FROM f),
+k AS (SELECT n, lead, i, w FROM t GROUP BY ALL HAVING sum(c) >= {MIN_DOCS}),
+q AS (SELECT t.m, any_value(t.c) AS c, any_value(t.n) AS n, any_value(t.lead) AS lead, count(k.w) / count(*) AS share,
+    list(CASE WHEN k.w IS NULL THEN '' ELSE t.w END ORDER BY t.i) AS kept
+  FROM t LEFT JOIN k ON k.n = t.n AND k.lead = t.lead AND k.i = t.i AND k.w = t.w GROUP BY t.m),
+z AS (SELECT *, CASE WHEN share >= {CONSTANT} THEN kept ELSE ['own', array_to_string(m, ' ')] END AS template,
+    CASE WHEN share >= {CONSTANT} THEN lead ELSE [] END AS under FROM q),
+bad AS (SELECT m FROM z JOIN (SELECT template, under FROM z GROUP BY ALL HAVING sum(c) >= {MIN_DOCS}) USING (template, under)),
+e AS (SELECT m.rid, any_value(m.doc_id) AS doc_id, any_value(m.text) AS text, count(*) AS n_lines, sum(len(line)) AS size,
+    sum(CASE WHEN bad.m IS NULL THEN len(line) ELSE 0 END) AS kept_size, count(bad.m) AS lost,
+    coalesce(array_to_string(list(line ORDER BY pos) FILTER (WHERE bad.m IS NULL), chr(10)), '') AS kept
+  FROM m LEFT JOIN bad ON bad.m = m.m GROUP BY m.rid)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines,
+  CASE WHEN size - kept_size > {MOST} * size THEN 0 ELSE coalesce(lost, 0) END AS n_dropped,
+  sha256(CASE WHEN e.rid IS NULL OR size - kept_size > {MOST} * size THEN d.text ELSE kept END) AS kept_sha256
+FROM d LEFT JOIN e ON e.rid = d.rid
+"""

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from queryscope.llm.common import documents, per_text, stored, text_or_empty, tokenizer_file
+from queryscope.llm.common import documents, forget, per_text, stored, text_or_empty, tokenizer_file
 
 SIZE = 1024
 SALTS = 128
@@ -319,6 +319,7 @@ def pack(docs: DataFrame, ranks_file: str, size: int = SIZE, text: str = "text")
                       (F.col("sequence") + F.expr("k div per_sequence")).alias("sequence_id"),
                       (F.col("at") + F.expr("k % per_sequence") * F.col("length")).alias("offset")))
     placed = stored(placed, "pack-placed")
+    forget(cut)
     # rests that were cut (fewer than size sequences' worth) are read again for their checksums
     split = placed.where(F.col("ids_crc32").isNull())
     again = (rows.join(F.broadcast(split.groupBy("row").agg(

@@ -19,4 +19,7 @@ QUERIES = {
 
 ORACLE = {
     "op2_pivot_topk": pivot_topk.OP2_SQL,
+    "op7_byte_repeats": byte_repeats.OP7_SQL,
+    "op8_jaccard_join": jaccard_join.OP8_SQL,
+    "op10_line_templates": line_templates.OP10_SQL,
 }
