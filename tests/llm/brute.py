@@ -2,8 +2,17 @@
 
 import collections
 import hashlib
+import random
 import re
 
+
+def words(n, seed):
+    r = random.Random(seed)
+    return " ".join("".join(r.choice("abcdefghijklmnop") for _ in range(r.randint(2, 8))) for _ in range(n))
+
+
+PASSAGE = words(70, 1000)
+LINE = "Subscribe to our newsletter for weekly news and offers"
 UPPER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 
 

@@ -8,21 +8,13 @@ from pyspark.sql import types as T
 
 sys.path.insert(0, os.path.dirname(__file__))
 
+from brute import LINE, PASSAGE, words  # noqa: E402
+
 SCHEMA = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("lang", T.StringType()),
     T.StructField("source", T.StringType()), T.StructField("n_chars", T.LongType())])
 
 
-def words(n, seed):
-    import random
-    r = random.Random(seed)
-    return " ".join("".join(r.choice("abcdefghijklmnop") for _ in range(r.randint(2, 8))) for _ in range(n))
-
-
-PASSAGE = words(70, 1000)
-LINE = "Subscribe to our newsletter for weekly news and offers"
-
-
 def awkward_rows():
     base = words(120, 1)
     rows = [

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import brute
-from conftest import PASSAGE, words
+from brute import PASSAGE, words
 from queryscope.llm import byte_repeats, jaccard_join, line_templates, passages
 from queryscope.llm.components import components
 

@@ -12,6 +12,7 @@ import pytest
 import brute
 import corpus_pipeline
 from queryscope.llm import language_id, pivot_topk, weighted_sampling
+from queryscope.llm.registry import ORACLE, QUERIES
 from test_tokenizers import check_pieces
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))), "tools"))
@@ -26,11 +27,12 @@ def top(vectors, k=5):
     return out
 
 
-def test_op2_is_its_sql(spark, small):
+@pytest.mark.parametrize("key", sorted(ORACLE))
+def test_queries_are_their_sql(spark, small, key):
     c = duckdb.connect()
-    c.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{small}/embeddings.parquet')")
-    rows = pivot_topk.op2(spark, small)
-    want = c.sql(pivot_topk.OP2_SQL)
+    for t in ("documents", "embeddings"):
+        c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{small}/{t}.parquet')")
+    rows, want = QUERIES[key](spark, small), c.sql(ORACLE[key])
     assert sorted(rows.columns) == sorted(want.columns)
     assert sorted(map(tuple, rows.select(*want.columns).collect())) == sorted(want.fetchall())
 
