@@ -215,6 +215,15 @@ def retention_filter(df: DataFrame, as_of: _dt.date, months: int = V.RETENTION_C
 
 # ------------------------------------------------------------------ B6 / B7
 
+def search_groups(fact: DataFrame) -> DataFrame:
+    """One row per (event_date, user, term, type, country, region): the search side of B6."""
+    return fact.groupBy(*ATTRIBUTION_KEYS).agg(
+        F.count_distinct("event_timestamp").alias("search_count"),
+        F.max(F.when(F.col("event_name") == V.CLICK, 1).otherwise(0)).alias("clicked_result"),
+        F.max("is_zero_result").alias("had_zero_result"),
+    )
+
+
 def search_order_attribution(fact: DataFrame, orders: DataFrame,
                              window_days: int = V.ATTRIBUTION_WINDOW_DAYS) -> DataFrame:
     """Search groups LEFT JOIN orders placed 0..30 days after the search day.
@@ -227,11 +236,7 @@ def search_order_attribution(fact: DataFrame, orders: DataFrame,
     join is bucketed by time and can be split on either side
     (``plans.joins.range_left_join``).
     """
-    groups = fact.groupBy(*ATTRIBUTION_KEYS).agg(
-        F.count_distinct("event_timestamp").alias("search_count"),
-        F.max(F.when(F.col("event_name") == V.CLICK, 1).otherwise(0)).alias("clicked_result"),
-        F.max("is_zero_result").alias("had_zero_result"),
-    )
+    groups = search_groups(fact)
     o = orders.select("user_pseudo_id", *ORDER_COLUMNS).distinct()
     j = range_left_join(groups, o, "user_pseudo_id", "event_date", "order_date",
                         0, window_days)
@@ -250,17 +255,45 @@ def search_metrics_daily(attribution: DataFrame, day: _dt.date | None = None) ->
     reference's fan-out (an order counts once per attribution group).
     """
     a = attribution if day is None else attribution.filter(F.col("event_date") == F.lit(day))
+    rows = a.withColumn("w", F.lit(1)).withColumn("has", F.col("order_id").isNotNull()).withColumn("rev", F.col("order_value"))
+    return _daily_mart(rows)
+
+
+def search_metrics_from_orders(fact: DataFrame, orders: DataFrame, day: _dt.date | None = None,
+                               window_days: int = V.ATTRIBUTION_WINDOW_DAYS) -> DataFrame:
+    """B7 without the attribution rows: the same mart, linear in searches and orders.
+
+    A search group with k orders in reach has max(1, k) attribution rows,
+    all alike but for the order; so the groups are weighted by max(1, k) and
+    worth the sum of these orders.  k and the sum come from a range join of
+    distinct (user, search day) pairs with per-day order totals.
+    """
+    groups = search_groups(fact if day is None else fact.filter(F.col("event_date") == F.lit(day)))
+    days = (orders.select("user_pseudo_id", *ORDER_COLUMNS).distinct().groupBy("user_pseudo_id", "order_date")
+            .agg(F.count(F.lit(1)).alias("k"), F.sum("order_value").alias("v")))
+    pairs = groups.filter(F.col("user_pseudo_id").isNotNull()).select("user_pseudo_id", "event_date").distinct()
+    reach = (range_left_join(pairs, days, "user_pseudo_id", "event_date", "order_date", 0, window_days)
+             .groupBy("user_pseudo_id", "event_date").agg(F.sum("k").alias("k"), F.sum("v").alias("rev")))
+    rows = (groups.join(reach, ["user_pseudo_id", "event_date"], "left")
+            .withColumn("w", F.greatest(F.lit(1), F.coalesce("k", F.lit(0))))
+            .withColumn("has", F.coalesce(F.col("k") > 0, F.lit(False))))
+    return _daily_mart(rows)
+
+
+def _daily_mart(rows: DataFrame) -> DataFrame:
+    """Measures over rows of weight ``w`` with ``has`` (an order) and ``rev`` (its value)."""
     keys = ["event_date", "region", "country_code"]
-    st = F.col("search_type")
-    per_user = a.groupBy(*keys, "user_pseudo_id").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum("clicked_result").alias("c"),
-        F.sum("had_zero_result").alias("z"),
-        F.sum(F.when(st == "default_search", 1).otherwise(0)).alias("t1"),
-        F.sum(F.when(st == "auto_suggestion", 1).otherwise(0)).alias("t2"),
-        F.sum(F.when(st == "keyword_box", 1).otherwise(0)).alias("t3"),
-        F.max(F.col("order_id").isNotNull()).alias("has_order"),
-        F.sum("order_value").alias("rev"),
+    st, w = F.col("search_type"), F.col("w")
+    of = lambda kind: F.sum(F.when(st == kind, w).otherwise(0))
+    per_user = rows.groupBy(*keys, "user_pseudo_id").agg(
+        F.sum(w).alias("n"),
+        F.sum(F.col("clicked_result") * w).alias("c"),
+        F.sum(F.col("had_zero_result") * w).alias("z"),
+        of("default_search").alias("t1"),
+        of("auto_suggestion").alias("t2"),
+        of("keyword_box").alias("t3"),
+        F.max("has").alias("has_order"),
+        F.sum("rev").alias("rev"),
     )
     m = per_user.groupBy(*keys).agg(
         F.count("user_pseudo_id").alias("unique_users"),

@@ -191,8 +191,7 @@ def _b6(spark, sf):
 
 @register("search_metrics_daily")
 def _b7(spark, sf):
-    return etl.search_metrics_daily(
-        etl.search_order_attribution(_backfill_fact(spark, sf), fx.orders(spark, sf)))
+    return etl.search_metrics_from_orders(_backfill_fact(spark, sf), fx.orders(spark, sf))
 
 
 @register("revenue_dedup")

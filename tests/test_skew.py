@@ -65,3 +65,10 @@ def test_attribution_runs_no_job_while_it_is_built(spark):
         assert not spark.sparkContext.statusTracker().getJobIdsForGroup("building")
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_daily_mart_is_the_same_from_attribution_rows_and_from_orders(spark):
+    fact, orders = skewed(spark)
+    orders = orders.unionByName(orders.limit(30))  # repeated order rows count once
+    rows = etl.search_metrics_daily(etl.search_order_attribution(fact, orders)).collect()
+    assert Counter(etl.search_metrics_from_orders(fact, orders).collect()) == Counter(rows)
