@@ -72,6 +72,8 @@ class Pieces:
         for p in self.ids:
             self.automaton.add_word(p, p)
         self.automaton.make_automaton()
+        # marks that no piece has after a letter: a chunk can be cut before a last one
+        self.ends = {c for c in ".,;:!?" if not any(x == c and y.isascii() and y.isalpha() for p in self.ids for y, x in zip(p, p[1:]))}
         inner = any(SPACE in p.lstrip(SPACE) for p in self.ids)
         feed = any("\n" in p for p in self.ids)
         # with a piece over a cut, the whole text is one chunk
@@ -174,10 +176,10 @@ class Encoder(dict):
                 matches = None
 
     def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= CACHE:
-            self.clear()
         p = self.p
-        if p.chars.issuperset(chunk):
+        if chunk[-1] in p.ends and len(chunk) > 1 and (y := chunk[-2]).isascii() and y.isalpha():
+            return self[chunk[:-1]] + self[chunk[-1]]
+        elif p.chars.issuperset(chunk):
             out = b"".join(map(p.packed.__getitem__, self.known(chunk)))
         else:
             parts = []
@@ -188,26 +190,35 @@ class Encoder(dict):
                     parts += [array("i", [p.bytes[b] for b in c.encode()] if p.bytes else [p.unk]).tobytes() for c in run]
             out = b"".join(parts)
         if len(chunk) <= 64:
+            if len(self) >= CACHE:
+                self.clear()
             self[chunk] = out
         return out
 
+    def parts(self, text: str) -> list[bytes]:
+        """The ids of each chunk."""
+        return list(map(self.__getitem__, self.p.chunks(SPACE + text.replace(" ", SPACE)))) if text else []
+
     def encode(self, text: str) -> bytes:
-        if not text:
-            return b""
-        return b"".join(map(self.__getitem__, self.p.chunks(SPACE + text.replace(" ", SPACE))))
+        return b"".join(self.parts(text))
+
 
+class Decoder(dict):
+    """ids -> text, piece by piece; runs of byte ids are read as UTF-8.
 
-class Decoder:
-    """ids -> text, token by token; runs of byte ids are read as UTF-8."""
+    As a dictionary it holds the text of packed chunks; a chunk has whole
+    characters only, so chunks can be decoded one by one.
+    """
 
     def __init__(self, pieces: Pieces):
         self.plain = {i: t for i, t in pieces.text.items() if isinstance(t, str)}
         self.byte = {i: t for i, t in pieces.text.items() if isinstance(t, int)}
         self.unk = pieces.unk
 
-    def decode(self, ids) -> str:
+    def marked(self, ids) -> str:
+        """Text with space marks."""
         try:
-            text = "".join(map(self.plain.__getitem__, ids))  # no byte ids: the common case
+            return "".join(map(self.plain.__getitem__, ids))  # no byte ids: the common case
         except KeyError:
             out: list[str] = []
             raw = bytearray()
@@ -221,10 +232,26 @@ class Decoder:
                 out.append(self.plain.get(i, f"{SPACE}⁇{SPACE}" if i == self.unk else ""))
             if raw:
                 out.append(raw.decode("utf-8", "replace"))
-            text = "".join(out)
-        if text.startswith(SPACE):  # the mark put before the text
-            text = text[1:]
-        return text.replace(SPACE, " ")
+            return "".join(out)
+
+    def __missing__(self, chunk: bytes) -> str:
+        if len(self) >= CACHE:
+            self.clear()
+        text = self.marked(memoryview(chunk).cast("i"))
+        if len(chunk) <= 128:
+            self[chunk] = text
+        return text
+
+    @staticmethod
+    def plain_text(marked: str) -> str:
+        """Without the mark put before the text."""
+        return marked.removeprefix(SPACE).replace(SPACE, " ")
+
+    def decode(self, ids) -> str:
+        return self.plain_text(self.marked(ids))
+
+    def decode_parts(self, parts: list[bytes]) -> str:
+        return self.plain_text("".join(map(self.__getitem__, parts)))
 
 
 def encode(df: DataFrame, model: str, text: str = "text", ids: str = "ids") -> DataFrame:
@@ -248,9 +275,10 @@ def encode_decode(df: DataFrame, model: str, text: str = "text") -> DataFrame:
         enc, dec = Encoder(pieces), Decoder(pieces)
 
         def run(texts):
-            packed = [enc.encode(t) for t in texts]
+            parts = [enc.parts(t) for t in texts]
+            packed = [b"".join(p) for p in parts]
             values = pa.Array.from_buffers(pa.int32(), sum(map(len, packed)) // 4, [None, pa.py_buffer(b"".join(packed))])
-            back = [dec.decode(memoryview(p).cast("i")) for p in packed]
+            back = [dec.decode_parts(p) for p in parts]
             return [pa.ListArray.from_arrays(spans([len(p) // 4 for p in packed]), values), pa.array(back, pa.string())]
         return run
 
