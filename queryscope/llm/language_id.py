@@ -5,7 +5,8 @@ posterior of language l is proportional to
 
     P(l | h) * P(x | l)**DISCOUNT * P(d | l) * P(s | l).
 
-* P(x | l): hashed byte trigrams, counted over all labelled documents (every
+* P(x | l): hashed byte trigrams of letters and spaces (numbers, marks-up and
+  keys say nothing of a language), counted over all labelled documents (every
   label that has ``SHARE`` of the labelled rows at least) and smoothed;
   trigrams overlap, hence the discount.  One more class, undetermined, has
   all trigrams alike: noise fits it better than any language.
@@ -47,19 +48,26 @@ WEIGHT = 5.0
 _low = np.arange(256, dtype=np.uint32)
 _low[65:91] += 32
 _low[[9, 10, 11, 12, 13]] = 32
+_letter = np.zeros(256, dtype=bool)  # letters, their UTF-8 bytes, spaces and apostrophes
+_letter[[9, 10, 11, 12, 13, 32, 39, *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
 
 def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed byte trigrams in order, and the first of each text."""
+    """Hashed byte trigrams of letters in order, and the first of each text."""
     raw = [t.encode("utf-8", "surrogatepass") for t in texts]
     size = np.array([len(r) for r in raw], dtype=np.int64)
-    data = _low[np.frombuffer(b"".join(raw), dtype=np.uint8)]
+    joined = np.frombuffer(b"".join(raw), dtype=np.uint8)
+    data, letter = _low[joined], _letter[joined]
     n = np.maximum(size - 2, 0)
     first = np.zeros(len(raw) + 1, dtype=np.int64)
     np.cumsum(n, out=first[1:])
     at = np.arange(first[-1]) + np.repeat(np.cumsum(size) - size - first[:-1], n)
+    good = letter[at] & letter[at + 1] & letter[at + 2] if len(at) else np.zeros(0, dtype=bool)
+    kept = np.zeros(len(at) + 1, dtype=np.int64)
+    np.cumsum(good, out=kept[1:])
+    at = at[good]
     code = (data[at] << np.uint32(16)) | (data[at + 1] << np.uint32(8)) | data[at + 2] if len(at) else np.zeros(0, np.uint32)
-    return ((code * np.uint32(2654435761)) >> np.uint32(32 - 14)).astype(np.int64), first
+    return ((code * np.uint32(2654435761)) >> np.uint32(32 - 14)).astype(np.int64), kept[first]
 
 
 def fit(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
