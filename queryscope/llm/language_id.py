@@ -85,7 +85,7 @@ def fit(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
         for b in batches:
             at = 0
             own = b.column(0).to_pylist()
-            for texts in per_text(b.column(1), 1 << 20):
+            for texts in per_text(b.column(1), 1 << 18):
                 f, first = trigrams(texts)
                 lang = np.array([index.get(l, -1) for l in own[at:at + len(texts)]])
                 at += len(texts)
@@ -119,7 +119,7 @@ def scored(df: DataFrame, model: np.ndarray, markup: bool = False) -> DataFrame:
     def run(batches):
         for b in batches:
             at = 0
-            for texts in per_text(b.column(at_text), 1 << 20):
+            for texts in per_text(b.column(at_text), 1 << 18):
                 f, first = trigrams([plain(t) for t in texts] if markup else texts)
                 total = np.zeros((len(texts), width))
                 full = np.flatnonzero(np.diff(first))
