@@ -147,6 +147,18 @@ def test_op5_finds_every_exact_repeat_and_reports_only_near_duplicates(spark, re
         assert {10, 14} <= set(covered) and 9 not in covered and 13 not in covered
 
 
+def test_a_repeat_is_found_behind_a_common_text_that_is_too_short(spark):
+    """Many documents have the 48 words in the middle; two of them share two more on either side."""
+    docs = {}
+    for k in range(12):
+        common, left, right = words(48, 2000 + k), words(2, 2100 + k), words(2, 2200 + k)
+        docs.update({100 * k + i: f"{words(60, 3000 + 100 * k + i)} {common} {words(60, 5000 + 100 * k + i)}" for i in range(10)})
+        docs.update({100 * k + i: f"{words(60, 3000 + 100 * k + i)} {left} {common} {right} {words(60, 5000 + 100 * k + i)}" for i in (50, 90)})
+    rows = passages.repeated_passages(spark.createDataFrame(list(docs.items()), "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.source_id) for r in rows} == {(100 * k + 90, 100 * k + 50) for k in range(12)}
+    assert all((r.start, r.end, r.similarity) == (60, 112, 1.0) for r in rows)
+
+
 def test_passages_are_cut_from_later_documents(spark):
     head = words(60, 70)
     df = spark.createDataFrame([(1, head + " " + PASSAGE, 1), (2, PASSAGE + " " + words(55, 71), 2), (3, None, 3), (None, PASSAGE, 4)],
