@@ -159,6 +159,39 @@ def test_a_repeat_is_found_behind_a_common_text_that_is_too_short(spark):
     assert all((r.start, r.end, r.similarity) == (60, 112, 1.0) for r in rows)
 
 
+@pytest.mark.parametrize("later", [True, False])
+@pytest.mark.parametrize("n, at, more, share", [(84, 42, 13, 76 / 97), (54, 47, 7, 46 / 61)])
+def test_a_near_duplicate_with_a_block_inserted_is_one_passage(later, n, at, more, share):
+    """84 words, and the same with 13 inserted in the middle; 54 words, and 7 inserted near the end."""
+    a = words(n, 900).split()
+    b = [*a[:at], *words(more, 901).split(), *a[at:]]
+    x, y = (b, a) if later else (a, b)
+    around = [words(40, 902 + i) for i in range(4)]
+    s, first = passages.shingles(passages.Words([f"{around[0]} {' '.join(x)} {around[1]}", f"{around[2]} {' '.join(y)} {around[3]}"]), 5)
+    sx, sa = s[:first[1]], s[first[1]:]
+    got = passages.verified(sx, sa, (0, len(sx) - 1, 0, len(sa) - 1), 46)
+    assert [v[:3] for v in got] == [(40, 40 + len(x) - 5, 40)]
+    assert share <= got[0][4] and got[0][3] <= 40 + len(y) - 5  # the source may do without the few words past the block
+
+
+def test_a_stray_match_does_not_lengthen_a_passage():
+    a, own, stray = words(200, 910), words(40, 911), words(5, 912)
+    s, first = passages.shingles(passages.Words([f"{a} {own} {stray}", f"{stray} {a}"]), 5)
+    sx, sa = s[:first[1]], s[first[1]:]
+    assert passages.verified(sx, sa, (0, len(sx) - 1, 0, len(sa) - 1), 46) == [(0, 195, 5, 200, 1.0)]
+
+
+def test_a_passage_is_found_beside_a_stretch_of_scattered_matches():
+    """A stretch with every tenth word replaced, which is no near duplicate, and then 100 words with 13 inserted."""
+    scattered, a = words(200, 920).split(), words(100, 921).split()
+    changed = [w if i % 10 else words(1, 930 + i) + "q" for i, w in enumerate(scattered)]
+    s, first = passages.shingles(passages.Words([" ".join([*changed, *a[:50], *words(13, 922).split(), *a[50:]]), " ".join([*scattered, *a])]), 5)
+    sx, sa = s[:first[1]], s[first[1]:]
+    got = passages.verified(sx, sa, (0, len(sx) - 1, 0, len(sa) - 1), 46)
+    covered = {i for l, r, *_ in got for i in range(l, r + 1)}
+    assert covered >= set(range(200, 200 + 113 - 4)) and all(v[4] >= 0.75 for v in got)
+
+
 def test_passages_are_cut_from_later_documents(spark):
     head = words(60, 70)
     df = spark.createDataFrame([(1, head + " " + PASSAGE, 1), (2, PASSAGE + " " + words(55, 71), 2), (3, None, 3), (None, PASSAGE, 4)],
