@@ -159,6 +159,29 @@ def test_a_repeat_is_found_behind_a_common_text_that_is_too_short(spark):
     assert all((r.start, r.end, r.similarity) == (60, 112, 1.0) for r in rows)
 
 
+def test_windows_that_point_elsewhere_do_not_part_those_that_agree():
+    """Hashes 0 and 2 agree on one place of the source, 1 points to another, 3 to none."""
+    got = passages.stretches(np.array([[0, 10, 60, 510, 560], [1, 11, 62, 1011, 1062], [2, 13, 64, 513, 564]]))
+    assert got == [(10, 64, 510, 564)]
+
+
+def test_windows_that_overlap_in_both_documents_are_in_one_stretch():
+    r = random.Random(5)
+    for _ in range(300):
+        ws = [(r.randrange(4), l := r.randrange(300), l + r.randint(5, 40), l0 := r.randrange(300), l0 + r.randint(5, 40)) for _ in range(r.randint(1, 40))]
+        of = list(range(len(ws)))
+        for i, a in enumerate(ws):
+            for j, b in enumerate(ws):
+                if a[1] <= b[2] and b[1] <= a[2] and a[3] <= b[4] and b[3] <= a[4]:
+                    of = [of[i] if x == of[j] else x for x in of]
+        got = passages.stretches(np.array(ws))
+        for k in set(of):
+            own = [w for w, x in zip(ws, of) if x == k]
+            if len({w[0] for w in own}) >= passages.ENOUGH:
+                l, r_, l0, r0 = min(w[1] for w in own), max(w[2] for w in own), min(w[3] for w in own), max(w[4] for w in own)
+                assert any(x[0] <= l and r_ <= x[1] and x[2] <= l0 and r0 <= x[3] for x in got)
+
+
 @pytest.mark.parametrize("later", [True, False])
 @pytest.mark.parametrize("n, at, more, share", [(84, 42, 13, 76 / 97), (54, 47, 7, 46 / 61)])
 def test_a_near_duplicate_with_a_block_inserted_is_one_passage(later, n, at, more, share):
