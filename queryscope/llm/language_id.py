@@ -6,8 +6,9 @@ posterior of language l is proportional to
     P(l | h) * P(x | l)**DISCOUNT * P(d | l) * P(s | l).
 
 * P(x | l): hashed byte trigrams of letters and spaces (numbers, marks-up and
-  keys say nothing of a language), counted over all labelled documents (every
-  label that has ``SHARE`` of the labelled rows at least) and smoothed;
+  keys say nothing of a language), counted over all labelled documents (of the
+  ``LABELS`` most frequent labels every one that has ``LEAST`` trigrams,
+  however many documents the others have) and smoothed;
   trigrams overlap, hence the discount.  One more class, undetermined, has
   all trigrams alike: noise fits it better than any language.
 * P(d | l), P(s | l): smoothed shares of the text posteriors of all rows,
@@ -16,7 +17,9 @@ posterior of language l is proportional to
   all; each level is smoothed towards the one above with ``WEIGHT``
   pseudo-rows, the row's own part taken off, so no row is its own witness.
 
-A row is rejected if undetermined wins or its text has no trigram.
+A row is rejected if undetermined wins or its text has no trigram.  A
+document whose label has no class is not rejected for that: where
+undetermined wins, it keeps its label.
 
 Every table that grows is joined by key, never broadcast; the model sent to
 the tasks has ``FEATURES`` rows per language.
@@ -41,7 +44,8 @@ from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField,
 from queryscope.llm.common import documents, per_text, stored, text_or_empty
 
 FEATURES = 1 << 14
-SHARE = 0.001
+LABELS = 1000   # far above the languages of any labelled corpus
+LEAST = 1000    # trigrams: a class of fewer is hardly other than undetermined
 DISCOUNT = 0.2
 WEIGHT = 5.0
 
@@ -74,9 +78,7 @@ def fit(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
     """Languages and log P(trigram | language), with the undetermined class last."""
     labelled = labelled.where("lang is not null and text is not null").select("lang", "text")
     rows = labelled.groupBy("lang").agg(F.count("*").alias("n"))
-    # at most 1 / SHARE languages pass
-    known = rows.crossJoin(F.broadcast(rows.agg(F.sum("n").alias("all")))).where(F.col("n") >= SHARE * F.col("all"))
-    langs = sorted(r["lang"] for r in known.select("lang").collect())
+    langs = sorted(r["lang"] for r in rows.orderBy(F.desc("n"), "lang").limit(LABELS).collect())
     schema = pa.schema([("lang", pa.int32()), ("feature", pa.int32()), ("n", pa.int64())])
     index = {l: i for i, l in enumerate(langs)}
 
@@ -90,7 +92,7 @@ def fit(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
                 lang = np.array([index.get(l, -1) for l in own[at:at + len(texts)]])
                 at += len(texts)
                 of = np.repeat(lang, np.diff(first))
-                for i in range(len(langs)):
+                for i in np.unique(lang[lang >= 0]):
                     total[i] += np.bincount(f[of == i], minlength=FEATURES)
         i, f = np.nonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(i.astype(np.int32)), pa.array(f.astype(np.int32)), pa.array(total[i, f])], schema=schema)
@@ -99,6 +101,8 @@ def fit(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
     if langs:
         for r in labelled.mapInArrow(count, "lang int, feature int, n long").groupBy("lang", "feature").agg(F.sum("n").alias("n")).toLocalIterator():
             table[r["lang"], r["feature"]] = r["n"]  # languages * FEATURES rows at most
+        some = table[:-1].sum(1) >= LEAST
+        langs, table = [l for l, s in zip(langs, some) if s], table[np.append(some, True)]
     table += 0.5
     return langs, np.log(table / table.sum(1, keepdims=True)).T.astype(np.float32).copy()
 
@@ -177,6 +181,7 @@ def fused(rows: DataFrame, langs: list[str]) -> DataFrame:
     kept = [c for c in rows.columns if c not in ("n", "score")]
     parts = ("n", "p", "score", "overall", "domain_n", "host_n", "declared_score", "suffix_score")
     names = [*langs, None]
+    classes = set(langs)
 
     def decide(batches):
         for b in batches:
@@ -199,9 +204,13 @@ def fused(rows: DataFrame, langs: list[str]) -> DataFrame:
             post = np.exp(fused_ - fused_.max(1, keepdims=True))
             post /= post.sum(1, keepdims=True)
             best = post.argmax(1)
-            good = some & (best < width - 1)
+            found = [names[i] if s else None for i, s in zip(best, some)]
+            for i in np.flatnonzero(some & (best == width - 1) & b.column(kept.index("page_id")).is_null().to_numpy(zero_copy_only=False)):
+                label = b.column(kept.index("declared"))[int(i)].as_py()
+                found[i] = None if label in classes else label  # no class, so nothing speaks against the label
+            good = np.array([x is not None for x in found], dtype=bool)
             yield pa.RecordBatch.from_arrays(
-                [*b.columns[:len(kept)], pa.array([names[i] if g else None for i, g in zip(best, good)], pa.string()),
+                [*b.columns[:len(kept)], pa.array(found, pa.string()),
                  pa.array(post.max(1)), pa.array(good)], names=[*kept, "lang", "posterior", "accepted"])
 
     schema = StructType([*joined.select(*kept).schema.fields, StructField("lang", StringType()),

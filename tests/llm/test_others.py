@@ -115,6 +115,17 @@ def test_op3(spark, request, which):
         assert {r.doc_id for r in rows if not r.accepted and r.page_id is None} >= {3, 4}
 
 
+def test_a_language_is_known_however_many_documents_the_others_have(spark):
+    """Two of 2,502 labelled documents are in a language of other letters; a third such text has no label, and a label has one short text."""
+    rare = lambda seed: brute.words(300, seed).translate(str.maketrans("abcdefghijklmnop", "абвгдежзиклмнопр"))
+    rows = [(i, brute.words(20, i), "en", "a") for i in range(2500)]
+    rows += [(3000, rare(1), "ru", "b"), (3001, rare(2), "ru", "b"), (3002, rare(3), None, "c"), (3003, "ξψω φχψ θλπ", "el", "d")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(4)
+    got = {r.doc_id: r.lang for r in language_id.keep_identified(docs).collect()}
+    assert [got.get(3000 + i) for i in range(4)] == ["ru", "ru", "ru", "el"]
+    assert all(got.get(i) == "en" for i in range(2500))
+
+
 def test_language_of_unlabelled_text_is_held_out_accurate(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     langs, model = language_id.fit(docs.where("doc_id % 2 = 0"))
