@@ -12,6 +12,11 @@ would lose more than ``MOST`` of its characters is left whole: such
 documents are copies of each other, which document-level deduplication
 deals with, not carriers of boilerplate.
 
+With ``masks=False``, as in the pipeline, a variable token is no constant: a
+line of which they leave less than ``CONSTANT`` is its own template with its
+digits, so that rows of numbers are dropped only where they recur as they
+are.  The query and its SQL form take the mask as a constant token.
+
 Plan.  One pass counts the leaves.  Frequent leaves are marked in a bitmap
 of fixed size (a superset is harmless, as counts are exact later on); a
 second pass sends only lines of marked leaves, each distinct line's tokens
@@ -59,7 +64,10 @@ def leaf(tokens: list[str]) -> int:
     return signed(xxhash.xxh64_intdigest("\x1f".join([str(len(tokens)), *masked(tokens[:DEPTH])])))
 
 
-def line_hash(tokens: list[str]) -> int:
+def line_hash(tokens: list[str], masks: bool = True) -> int:
+    """Hash of the masked line, or of the line itself where too little besides the masks is left."""
+    if not masks and sum(not _variable(t) for t in tokens) < CONSTANT * len(tokens):
+        return signed(xxhash.xxh64_intdigest("\x1f".join(["", *tokens])))
     return signed(xxhash.xxh64_intdigest("\x1f".join(masked(tokens))))
 
 
@@ -86,8 +94,8 @@ def bitmap(frequent: DataFrame) -> np.ndarray:
     return out
 
 
-def candidate_lines(docs: DataFrame, marks: np.ndarray) -> DataFrame:
-    """key, leaf, line, tokens for lines of marked leaves, once per row; tokens once per task and line."""
+def candidate_lines(docs: DataFrame, marks: np.ndarray, masks: bool = True) -> DataFrame:
+    """key, leaf, line, tokens for lines of marked leaves, once per row; tokens once per task and line (null: variable, no constant)."""
     schema = pa.schema([("key", pa.int64()), ("copy", pa.int64()), ("leaf", pa.int64()), ("line", pa.int64()), ("tokens", pa.list_(pa.int64()))])
 
     def run(batches):
@@ -106,7 +114,7 @@ def candidate_lines(docs: DataFrame, marks: np.ndarray) -> DataFrame:
                         bit = (f & (1 << 64) - 1) >> (64 - BITS)
                         if not int(marks[bit >> 6]) >> (bit & 63) & 1:
                             continue
-                        h = line_hash(k)
+                        h = line_hash(k, masks)
                         if h in seen:
                             continue
                         seen.add(h)
@@ -115,7 +123,7 @@ def candidate_lines(docs: DataFrame, marks: np.ndarray) -> DataFrame:
                             if len(sent) >= 200_000:
                                 sent.clear()
                             sent.add(h)
-                            tokens = [signed(xxhash.xxh64_intdigest(x)) for x in masked(k)]
+                            tokens = [signed(xxhash.xxh64_intdigest(x)) if masks or x != "<*>" else None for x in masked(k)]
                         for n, v in zip(schema.names, (key, copy, f, h, tokens)):
                             out[n].append(v)
                 at += len(texts)
@@ -140,12 +148,12 @@ def boilerplate(lines: DataFrame) -> DataFrame:
     return template.join(recurring, "template").select("line")
 
 
-def drop_lines(df: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
+def drop_lines(df: DataFrame, text: str = "text", id: str = "doc_id", masks: bool = True) -> DataFrame:
     """``df`` with its text cleaned, and __lines, __dropped (numbers of lines)."""
     docs = (df.withColumn("__key", F.xxhash64(id, text)).withColumn("__copy", F.xxhash64(text))
             .withColumn("__text", F.coalesce(F.col(text).cast("string"), F.lit(""))))
     frequent = leaves(docs).groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_DOCS)
-    lines = stored(candidate_lines(docs, bitmap(frequent)), "candidate-lines")
+    lines = stored(candidate_lines(docs, bitmap(frequent), masks), "candidate-lines")
     bad = boilerplate(lines)
     lists = lines.select("key", "line").join(bad, "line").groupBy(F.col("key").alias("__key")).agg(F.collect_set("line").alias("__bad"))
     joined = docs.drop("__text", "__copy").join(lists, "__key", "left").select(*df.columns, "__bad")
@@ -162,7 +170,7 @@ def drop_lines(df: DataFrame, text: str = "text", id: str = "doc_id") -> DataFra
                 kept = rows
                 if gone:
                     gone = set(gone)
-                    kept = [x for x in rows if not (k := x.split()) or line_hash(k) not in gone]
+                    kept = [x for x in rows if not (k := x.split()) or line_hash(k, masks) not in gone]
                     if sum(map(len, rows)) - sum(map(len, kept)) > MOST * sum(map(len, rows)):
                         kept = rows
                     texts[i] = "\n".join(kept)

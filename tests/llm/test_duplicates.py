@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import brute
+import corpus_pipeline
 from brute import PASSAGE, words
 from queryscope.llm import byte_repeats, jaccard_join, line_templates, passages
 from queryscope.llm.components import components
@@ -238,3 +239,11 @@ def test_template_generalises_a_variable_word(spark):
     table = [(i, f"{words(30, 700 + i)}\nThis article was written by {n} for the weekly paper\n{words(30, 800 + i)}") for i, n in enumerate(names)]
     rows = line_templates.drop_lines(spark.createDataFrame(table, "doc_id long, text string")).collect()
     assert all(r["__dropped"] == 1 for r in rows)
+
+
+def test_the_pipeline_keeps_lines_that_agree_only_in_having_digits(spark):
+    """Rows of numbers differ from text to text; one of them and a line with a number recur."""
+    table = [(i, "\n".join([words(30, 700 + i), f"{i} {i * 7} {i * 31}", f"H{i}O", "1 2 3", f"Page {i} of this weekly paper", words(30, 800 + i)]), "en", "a") for i in range(12)]
+    docs = spark.createDataFrame(table, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r.text.split("\n") for r in corpus_pipeline.clean_lines(spark, docs, "").collect()}
+    assert got == {i: [x for x in t.split("\n") if x != "1 2 3" and not x.startswith("Page ")] for i, t, *_ in table}
