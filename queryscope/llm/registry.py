@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from queryscope.llm import byte_repeats, jaccard_join, language_id, line_templates, packing, passages, piece_bpe, pivot_topk, token_counts, weighted_sampling
+from queryscope.llm import (
+    byte_repeats,
+    jaccard_join,
+    language_id,
+    line_templates,
+    packing,
+    passages,
+    perfect_hash,
+    phrase_mining,
+    piece_bpe,
+    pivot_topk,
+    token_counts,
+    turn_repair,
+    weighted_sampling,
+)
 
 QUERIES = {
     "op10_line_templates": line_templates.op10,
@@ -15,6 +29,9 @@ QUERIES = {
     "op2_pivot_topk": pivot_topk.op2,
     "op4_piece_bpe": piece_bpe.op4,
     "op9_token_counts": token_counts.op9,
+    "op11_turn_repair": turn_repair.op11,
+    "op12_perfect_hash": perfect_hash.op12,
+    "op13_phrase_mining": phrase_mining.op13,
 }
 
 ORACLE = {
@@ -22,4 +39,7 @@ ORACLE = {
     "op7_byte_repeats": byte_repeats.OP7_SQL,
     "op8_jaccard_join": jaccard_join.OP8_SQL,
     "op10_line_templates": line_templates.OP10_SQL,
+    "op11_turn_repair": turn_repair.OP11_SQL,
+    "op12_perfect_hash": perfect_hash.OP12_SQL,
+    "op13_phrase_mining": phrase_mining.OP13_SQL,
 }
