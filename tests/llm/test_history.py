@@ -220,11 +220,12 @@ def phrase_rows(seed, n=250):
     return rows + [("en", "late late late late bird")] * 40 + [(None, None), ("en", ""), ("fr", " \t"), ("xx", "one word")]
 
 
-@pytest.mark.parametrize("cells", [1 << 24, 1 << 15])
+@pytest.mark.parametrize("cells", [1 << 25, 1 << 6])
 @pytest.mark.parametrize("shards", [1, 3])
 def test_phrases_equal_plain_counts(spark, monkeypatch, cells, shards):
     rows = phrase_rows(shards)
     monkeypatch.setattr(phrase_mining, "CELLS", cells)
+    monkeypatch.setattr(phrase_mining, "BLOCK", min(cells, 1 << 10))
     monkeypatch.setattr(phrase_mining, "SHARDS", shards)
     df = spark.createDataFrame([(*x, 1, "p") for x in rows], "lang string, text string, n int, phrase string").repartition(3)
     assert mined(df) == plain_collocations(rows)
@@ -234,7 +235,7 @@ def test_phrases_equal_plain_counts(spark, monkeypatch, cells, shards):
 def test_every_cell_marked_at_once(spark, monkeypatch):
     """A table of marks in which all phrases share cells gives the same counts."""
     rows = phrase_rows(9)
-    monkeypatch.setattr(phrase_mining, "mix", lambda x: phrase_mining_mix(x) & np.uint64(0xFFFFFFFFFFFF8000) | np.uint64(1))
+    monkeypatch.setattr(phrase_mining, "mix", lambda x: phrase_mining_mix(x) & np.uint64(0xFFFFFFFFFC000000) | np.uint64(1))
     df = spark.createDataFrame(rows, "lang string, text string")
     assert mined(df) == plain_collocations(rows)
 
