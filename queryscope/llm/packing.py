@@ -11,17 +11,19 @@ most ``size`` rows however many documents there are:
    capacity finds the pattern worth most at the present dual prices; it
    enters the basis while it is worth more than a sequence.  Pricing stops
    at optimality, at ``GAP`` from the lower bound, or after ``ROUNDS``.
-2. *Rounding.*  Each pattern is used its whole number of times.  The rest of
-   the demand (less than one sequence per basic pattern, at most ``size``
-   sequences) is packed by knapsacks over what is left; sequences that stay
-   short are joined end to end and cut, the last one into powers of two,
-   which need no padding.
+2. *Rounding.*  Each full pattern is used its whole number of times.  What
+   does not come into play by that (less than one sequence per basic
+   pattern) is packed by knapsacks over what is left.  The rests of patterns
+   and of sequences that stay short are cut: many equal sequences at a time
+   get a head of one length and are filled up with whole rests or pieces of
+   another, whose remainders are rests again.  The last ids go to sequences
+   of powers of two, which need no padding.
 3. *Assignment.*  The rests of one length are ranked (by id within salted
    shares, so a length that a third of all rows have is spread) and each
    pattern takes a range of ranks of every length in it.
 
 The driver sees the histogram only; the plan it sends back has a row for
-each (pattern, length), bounded by ``size`` squared.
+each (pattern, length), bounded by ``size`` squared, however many rests there are.
 
 Cases: null text counts as empty, so the document is its final id alone;
 rows without an id are packed like others; repeated rows are packed each;
@@ -45,6 +47,8 @@ SIZE = 1024
 SALTS = 128
 GAP = 1e-3
 ROUNDS = 300
+#: A pattern is full when no more than size / SPARE ids are missing.
+SPARE = 128
 END = 0  # the id after every document
 
 
@@ -181,8 +185,53 @@ def leftover(count: dict[int, int], size: int) -> list[list[int]]:
     return out
 
 
-def powers(n: int) -> list[int]:
-    return [1 << b for b in range(n.bit_length() - 1, -1, -1) if n >> b & 1]
+class Run:
+    """Equal pieces of a range of ranks of one length: ``size`` ids from ``start`` on of ``n`` rests from rank ``first`` on."""
+
+    def __init__(self, length: int, first: int, n: int, start: int, size: int):
+        self.length, self.first, self.n, self.start, self.size = length, first, n, start, size
+
+    def place(self, sequences: int, per: int, seq: int, offset: int, size: int) -> tuple[tuple, Run | None]:
+        """The plan's row for the first ``size`` ids of ``per`` pieces a sequence, and the run of what remains of them."""
+        row = (self.length, self.first, sequences * per, per, seq, offset, self.start, size)
+        rest = Run(self.length, self.first, sequences, self.start + size, self.size - size) if size < self.size else None
+        self.first += sequences * per
+        self.n -= sequences * per
+        return row, rest
+
+
+def filled_up(runs: list[Run], size: int, seq: int) -> list[tuple]:
+    """Plan of sequences that all are full; rests are cut where they do not fit, the last sequences are powers of two."""
+    out: list[tuple] = []
+    total = sum(r.n * r.size for r in runs)
+    while total:
+        if total < size:
+            size = 1 << total.bit_length() - 1
+        most, offset, parts = total // size, 0, []
+        left = {id(r): r.n for r in runs}
+        while offset < size:  # what each of ``most`` equal sequences holds
+            room = size - offset
+            enough = [r for r in runs if left[id(r)] >= most]
+            if not enough:  # fewer sequences at a time
+                most = max(left.values())
+                offset, parts, left = 0, [], {id(r): r.n for r in runs}
+                continue
+            whole = [r for r in enough if r.size <= room]
+            r = max(whole or enough, key=lambda r: (r.size, left[id(r)]))
+            per = min(room // r.size, left[id(r)] // most) if whole else 1
+            piece = min(room, r.size)
+            parts.append((r, per, offset, piece))
+            left[id(r)] -= per * most
+            offset += per * piece
+        for r, per, at, piece in parts:
+            row, rest = r.place(most, per, seq, at, piece)
+            out.append(row)
+            if rest:
+                runs.append(rest)
+        runs = [r for r in runs if r.n]
+        seq += most
+        total -= most * size
+    return out
 
 
 def plan(histogram: dict[int, int], size: int = SIZE) -> list[tuple]:
@@ -200,6 +249,7 @@ def plan(histogram: dict[int, int], size: int = SIZE) -> list[tuple]:
         seq = n
     lengths = np.array(sorted(l for l in histogram if l < size and histogram[l]), dtype=int)
     rest = {int(l): histogram[int(l)] for l in lengths}
+    cut = dict.fromkeys(rest, 0)
     if len(lengths):
         demand = np.array([float(rest[int(l)]) for l in lengths])
         cols, x = column_generation(lengths, demand, size)
@@ -208,17 +258,21 @@ def plan(histogram: dict[int, int], size: int = SIZE) -> list[tuple]:
             times = min([int(x[j] + 1e-6), *(rest[l] // k for l, k in items)])
             if times <= 0:
                 continue
+            full = sum(l * k for l, k in items) >= size - size // SPARE
             offset = 0
             for l, k in items:
-                out.append((l, used[l], times * k, k, seq, offset, 0, l))
-                used[l] += times * k
                 rest[l] -= times * k
-                offset += l * k
-            seq += times
-    short: list[int] = []
+                if full:
+                    out.append((l, used[l], times * k, k, seq, offset, 0, l))
+                    used[l] += times * k
+                    offset += l * k
+                else:
+                    cut[l] += times * k
+            seq += times if full else 0
     for s in leftover(rest, size):
-        if sum(s) < size:
-            short += s
+        if sum(s) < size - size // SPARE:
+            for l in s:
+                cut[l] += 1
             continue
         offset = 0
         for l in s:
@@ -226,23 +280,7 @@ def plan(histogram: dict[int, int], size: int = SIZE) -> list[tuple]:
             used[l] += 1
             offset += l
         seq += 1
-    # what stays short is laid end to end; the remainder goes to sequences of 2^k ids
-    total = sum(short)
-    rooms = [size] * (total // size) + powers(total % size)
-    k, room = 0, rooms[0] if rooms else 0
-    for l in short:
-        start = 0
-        while start < l:
-            n = min(l - start, room)
-            out.append((l, used[l], 1, 1, seq, rooms[k] - room, start, n))
-            start += n
-            room -= n
-            if room == 0:
-                seq += 1
-                k += 1
-                room = rooms[k] if k < len(rooms) else 0
-        used[l] += 1
-    return out
+    return out + filled_up([Run(l, used[l], n, 0, l) for l, n in cut.items() if n], size, seq)
 
 
 # ------------------------------------------------------------------ the jobs
@@ -317,13 +355,12 @@ def pack(docs: DataFrame, ranks_file: str, size: int = SIZE, text: str = "text")
                       F.col("piece_length").alias("length"),
                       F.when(F.col("piece_length") == F.col("length"), F.col("ids_crc32")).alias("ids_crc32"), "doc_tokens",
                       (F.col("sequence") + F.expr("k div per_sequence")).alias("sequence_id"),
-                      (F.col("at") + F.expr("k % per_sequence") * F.col("length")).alias("offset")))
+                      (F.col("at") + F.expr("k % per_sequence") * F.col("piece_length")).alias("offset")))
     placed = stored(placed, "pack-placed")
     forget(cut)
-    # rests that were cut (fewer than size sequences' worth) are read again for their checksums
+    # rests that were cut are read again for their checksums
     split = placed.where(F.col("ids_crc32").isNull())
-    again = (rows.join(F.broadcast(split.groupBy("row").agg(
-                 F.sort_array(F.collect_set(F.struct("start", "length"))).alias("cuts"))), "row")
+    again = (rows.join(split.groupBy("row").agg(F.sort_array(F.collect_set(F.struct("start", "length"))).alias("cuts")), "row")
              .dropDuplicates(["row"]).select("row", "text", "cuts"))
 
     def sums(batches):
@@ -339,7 +376,7 @@ def pack(docs: DataFrame, ranks_file: str, size: int = SIZE, text: str = "text")
     crc = again.mapInArrow(sums, "row long, start long, length long, crc long")
     whole = placed.where(F.col("ids_crc32").isNotNull())
     key = ["row", "start", "length"]
-    mended = split.drop("ids_crc32").join(F.broadcast(crc), key).withColumnRenamed("crc", "ids_crc32")
+    mended = split.drop("ids_crc32").join(crc, key).withColumnRenamed("crc", "ids_crc32")
     return whole.unionByName(mended)
 
 

@@ -120,6 +120,23 @@ def test_op1(spark, request, which):
     assert padding <= 0.02 * total
 
 
+def sequences_of(steps):
+    """Ids in each sequence by the plan's ranges, as (first sequence, sequences, ids)."""
+    return [(seq, n // per, per * size) for _, _, n, per, seq, _, _, size in steps]
+
+
+@pytest.mark.parametrize("histogram", [
+    {600: 10_000}, {513: 10_000}, {700: 5_000, 400: 100}, {600: 10_000, 1024: 5, 300: 200}, {1023: 7_777}, {1: 5_000}, {341: 9_999, 342: 3},
+    {600: 10**12 + 7, 513: 10**11 + 3, 77: 5 * 10**11 + 1}, {l: 10**9 + l for l in range(520, 1000)}])
+def test_chunks_of_few_lengths_leave_little_padding(histogram):
+    """Padding of 2 % at most, ids all placed, and a plan that doesn't grow with the rests."""
+    steps = packing.plan(histogram, 1024)
+    total = sum(l * n for l, n in histogram.items())
+    assert sum(n * size for _, _, n, _, _, _, _, size in steps) == total
+    assert max(seq + n for seq, n, _ in sequences_of(steps)) <= 1.02 * total / 1024 + 11
+    assert len(steps) <= 40 * len(histogram) + 100
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.dictionaries(st.integers(1, 64), st.integers(1, 400), max_size=40))
 def test_plan_places_every_rest_once(histogram):
