@@ -247,3 +247,20 @@ def test_the_pipeline_keeps_lines_that_agree_only_in_having_digits(spark):
     docs = spark.createDataFrame(table, "doc_id long, text string, lang string, source string")
     got = {r.doc_id: r.text.split("\n") for r in corpus_pipeline.clean_lines(spark, docs, "").collect()}
     assert got == {i: [x for x in t.split("\n") if x != "1 2 3" and not x.startswith("Page ")] for i, t, *_ in table}
+
+
+@pytest.mark.parametrize("copies,size", [(200, 300), (600, 120)])
+def test_groups_on_both_sides_of_the_threshold(spark, copies, size):
+    """Near copies with so many edits that their likeness to each other lies around 0.75, against all pairs."""
+    r = random.Random(copies)
+    base = brute.words(size, 7).split()
+    docs = {0: " ".join(base)}
+    for i in range(1, copies):
+        w = list(base)
+        for _ in range(r.randint(size // 60, size // 22)):
+            w[r.randrange(size)] = f"edit{r.randrange(10**6)}"
+        docs[i] = " ".join(w)
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(6)
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in jaccard_join.jaccard_components(df).collect()}
+    want = brute.jaccard(docs)
+    assert got == want and len({c for _, c in want.values()}) > 3
