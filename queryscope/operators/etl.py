@@ -8,7 +8,9 @@ attribution join and the mart aggregation.
 
 from __future__ import annotations
 
+import calendar
 import datetime as _dt
+import re
 import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -191,11 +193,14 @@ def expire_partitions(spark: SparkSession, path: str, as_of: _dt.date,
                       months: int = V.RETENTION_CURATED_MONTHS) -> list[_dt.date]:
     """B5 on storage: remove the ``data_date`` partitions beyond the horizon; the days removed.
 
-    The days come from the partition listing; no data file is read.
+    The days come from the listing of the table's files; none is opened.
     """
-    old = (read_fact(spark, path).select("data_date").distinct()
-           .filter(F.col("data_date") < F.add_months(F.lit(as_of), -months)))
-    days = [r["data_date"] for r in old.collect()]
+    files = spark.read.schema(FACT_SCHEMA).parquet(path).inputFiles()
+    listed = {day[1] for day in (re.search(r"/data_date=(\d{4}-\d\d-\d\d)/", f) for f in files) if day}
+    month = as_of.year * 12 + as_of.month - 1 - months
+    year, month = month // 12, month % 12 + 1
+    horizon = _dt.date(year, month, min(as_of.day, calendar.monthrange(year, month)[1]))
+    days = sorted(day for day in map(_dt.date.fromisoformat, listed) if day < horizon)
     remove_partitions(spark, path, days)
     return days
 

@@ -38,3 +38,14 @@ def range_left_join(left: DataFrame, right: DataFrame, key: str, left_day: str,
     matched = lft.join(reach(right), cond, "inner")
     missed = lft.join(reach(right.select(rk, right_day).distinct()), cond, "left_anti")
     return matched.unionByName(missed, allowMissingColumns=True).drop(*helper)
+
+
+def range_semi_join(left: DataFrame, right: DataFrame, key: str, left_day: str, right_day: str, lo: int, hi: int) -> DataFrame:
+    """Rows of ``left`` with some row of ``right`` of the same key, lo..hi days after them; keyed by time bucket as above."""
+    width = hi - lo + 1
+    rd = F.col(right_day)
+    buckets = F.array_distinct(F.array(_bucket(F.date_sub(rd, hi), width), _bucket(F.date_sub(rd, lo), width)))
+    near = right.select(F.col(key).alias("_rkey"), right_day).withColumn("_rbucket", F.explode(buckets))
+    cond = ((F.col(key) == F.col("_rkey")) & (F.col("_lbucket") == F.col("_rbucket"))
+            & rd.between(F.date_add(F.col(left_day), lo), F.date_add(F.col(left_day), hi)))
+    return left.withColumn("_lbucket", _bucket(F.col(left_day), width)).join(near, cond, "left_semi").drop("_lbucket")

@@ -34,9 +34,10 @@ def run_nightly(spark: SparkSession, raw: DataFrame, orders: DataFrame, fact_pat
 
     Like the reference, the attribution and the daily mart are written as
     tables (``{out_dir}/search_order_attribution``, ``…/search_metrics_daily``;
-    default: a fresh folder under the shared folder); the mart is built
-    from the written attribution, so the join runs once and every later
-    step restarts from storage, not from the raw export.
+    default: a fresh folder under the shared folder).  The mart is
+    ``etl.search_metrics_from_orders`` over the written fact: it joins (user,
+    day) pairs with daily order totals, so it neither waits for the
+    attribution rows nor reads them.
 
     ``table_name`` also registers the fact in the catalog (A6, created only
     if absent) and shows it the loaded partition.  ``attribution_days`` > 1 re-attributes a trailing range of data dates
@@ -63,7 +64,7 @@ def run_nightly(spark: SparkSession, raw: DataFrame, orders: DataFrame, fact_pat
     write_table(etl.search_order_attribution(recent, orders), attribution_path)
     attribution = spark.read.parquet(attribution_path)
     metrics_path = f"{out_dir.rstrip('/')}/search_metrics_daily"
-    write_table(etl.search_metrics_daily(attribution, day), metrics_path)
+    write_table(etl.search_metrics_from_orders(recent, orders, day), metrics_path)
     fact_day = etl.read_fact(spark, fact_path, day)
     return {
         "fact": fact_day,

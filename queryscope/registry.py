@@ -16,15 +16,18 @@ from pyspark.sql import functions as F
 
 from queryscope.functions import vocab as V
 from queryscope.operators import engagement as E
-from queryscope.operators import etl, impute, quality, typos
+from queryscope.operators import delta, distinct, etl, impute, quality, typos
 from queryscope.operators import measures as M
 from queryscope.operators import metrics as C
+from queryscope.operators.typo_index import TypoIndex
 from queryscope.operators import zero as Z
 from queryscope.params import (AS_OF_30D, AS_OF_ETL, ETL_PROCESSED_AT, REPORT_END, REPORT_START,
                                RETENTION_AS_OF, RETENTION_CURATED_AS_OF)
 from queryscope.plans import marts, nightly
 from queryscope.session import shared_path
 from queryscope.sources import fixtures as fx
+from queryscope.sources.external import ExternalSource, read_external
+from queryscope.sources.shards import write_daily_shards
 from queryscope.sources.sinks import export_csv, write_table
 from queryscope.streaming.ingest import start_incremental_ingest
 
@@ -132,7 +135,7 @@ def _b4_late(spark, sf):
     landing, path, seen = (shared_path(spark, x) for x in ("landing", "search_events_fact", "ingest-checkpoint"))
     early = F.col("event_timestamp") % 3 == 0
     for name, rows in (("a", raw.filter(early)), ("b", raw.filter(~early)), ("c", raw.filter(~early))):
-        rows.write.parquet(f"{landing}/{name}")
+        write_daily_shards(rows, landing, "append")
         if name != "b":
             start_incremental_ingest(spark, landing, path, seen, ETL_PROCESSED_AT).awaitTermination()
     return etl.read_fact(spark, path)
@@ -184,6 +187,44 @@ def _a8(spark, sf):
     return spark.read.schema(daily.schema).option("header", True).csv(path)
 
 
+@register("external_orders")
+def _a5(spark, sf):
+    """Orders exported by another system: its own separator, dates, decimal comma and column names."""
+    path = shared_path(spark, "external-orders")
+    fx.orders(spark, sf).select(
+        F.col("order_id").alias("No"), F.col("user_pseudo_id").alias("Buyer"), F.date_format("order_date", "dd.MM.yyyy").alias("Day"),
+        F.translate(F.col("order_value").cast("string"), ".", ",").alias("Total"), F.col("product_id").alias("Item"),
+    ).write.option("sep", ";").option("header", True).csv(path)
+    return read_external(spark, ExternalSource(
+        "csv", path, {"sep": ";", "header": "true"}, schema="No string, Buyer string, Day string, Total string, Item string",
+        columns={"order_id": "No", "user_pseudo_id": "Buyer", "order_date": "to_date(Day, 'dd.MM.yyyy')",
+                 "order_value": "translate(Total, ',', '.')", "product_id": "Item"}))
+
+
+def _after_late_orders(spark, sf):
+    """Tables built before some orders came and others were corrected, then brought up to date."""
+    fact_path, attribution, metrics = (shared_path(spark, x) for x in ("search_events_fact", "search_order_attribution", "search_metrics_daily"))
+    _backfill_fact(spark, sf).write.partitionBy("data_date").parquet(fact_path)
+    fact, orders = etl.read_fact(spark, fact_path), fx.orders(spark, sf)
+    kind = F.col("order_id") % 10
+    before = orders.filter(kind != 3).withColumn("order_date", F.when(kind == 4, F.date_sub("order_date", 5)).otherwise(F.col("order_date"))) \
+        .withColumn("order_value", F.when(kind == 4, F.lit(0)).otherwise(F.col("order_value")).cast("decimal(18,2)"))
+    delta.build_tables(fact, before, attribution, metrics)
+    changed = orders.filter(kind.isin(3, 4)).unionByName(before.filter(kind == 4)).select("user_pseudo_id", "order_date")
+    delta.apply_order_changes(spark, fact, orders, changed, attribution, metrics)
+    return attribution, metrics
+
+
+@register("attribution_after_late_orders")
+def _b6_delta(spark, sf):
+    return spark.read.parquet(_after_late_orders(spark, sf)[0])
+
+
+@register("search_metrics_after_late_orders")
+def _b7_delta(spark, sf):
+    return spark.read.parquet(_after_late_orders(spark, sf)[1])
+
+
 @register("search_order_attribution")
 def _b6(spark, sf):
     return etl.search_order_attribution(_backfill_fact(spark, sf), fx.orders(spark, sf))
@@ -366,6 +407,16 @@ def _m10(spark, sf):
                       ["zero_result_searches", "zero_result_rate", "unique_zero_result_terms"])
 
 
+@register("unique_users_trailing")
+def _users_trailing(spark, sf):
+    """Search users of the last 7 and 28 days up to each day, from daily bitmaps."""
+    ev = fx.canonical_events(spark, sf).filter((F.col("event_category") == V.SEARCH_CATEGORY) & (F.col("event_name") == V.SUBMIT))
+    ids = typos.materialize(distinct.numbered(ev.select("user_pseudo_id")), "user-ids")
+    bitmaps = typos.materialize(distinct.daily_bitmaps(ev, ids, "user_pseudo_id", "event_date", ["region"]), "user-bitmaps")
+    out = distinct.distinct_in_trailing_days(bitmaps, "event_date", [7, 28], ["region"])
+    return out.withColumnRenamed("n", "unique_users")
+
+
 @register("searched_users")
 def _m14(spark, sf):
     return M.searched_users(fx.canonical_events(spark, sf))
@@ -486,6 +537,18 @@ def _z2(spark, sf):
                               Z.successful_searches(ev, REPORT_START, REPORT_END))
 
 
+@register("detect_typos_incremental")
+def _z2_index(spark, sf):
+    """The same suggestions after three nights, each of which compares its new terms only."""
+    ev = fx.canonical_events(spark, sf)
+    index = TypoIndex(spark, shared_path(spark, "typo-index"))
+    cuts = [REPORT_START, REPORT_START + _dt.timedelta(days=12), REPORT_START + _dt.timedelta(days=18), REPORT_END + _dt.timedelta(days=1)]
+    for night, (first, after) in enumerate(zip(cuts, cuts[1:])):
+        last = after - _dt.timedelta(days=1)
+        index.add_night(night, Z.load_zero_result_searches(ev, first, last), Z.successful_searches(ev, first, last))
+    return index.suggestions()
+
+
 @register("detect_typos_levenshtein")
 def _z3(spark, sf):
     ev = fx.canonical_events(spark, sf)

@@ -16,10 +16,13 @@ from pyspark.sql import functions as F
 SUFFIX = "_table_suffix"
 
 
-def write_daily_shards(raw: DataFrame, root: str) -> None:
-    """Land a raw export as one ``_table_suffix=YYYYMMDD`` folder per event day."""
+def write_daily_shards(raw: DataFrame, root: str, mode: str = "overwrite") -> None:
+    """Land a raw export as one ``_table_suffix=YYYYMMDD`` folder per event day.
+
+    ``append`` adds files to the days (late or repeated exports).
+    """
     (raw.withColumn(SUFFIX, F.date_format("event_date", "yyyyMMdd"))
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .write.mode(mode).option("partitionOverwriteMode", "dynamic")
         .partitionBy(SUFFIX).parquet(root))
 
 
