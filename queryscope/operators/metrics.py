@@ -94,6 +94,11 @@ def conversion_funnel(events: DataFrame, orders: DataFrame, as_of: _dt.date,
         .withColumnRenamed("user_pseudo_id", "buyer")
     )
     j = searchers.join(buyers, F.col("user_pseudo_id") == F.col("buyer"), "left")
+    return funnel_row(j)
+
+
+def funnel_row(j: DataFrame) -> DataFrame:
+    """The funnel's measures over searchers with their buyer, orders and revenue (null: none)."""
     agg = j.agg(
         F.count("user_pseudo_id").alias("total_search_users"),
         F.count("buyer").alias("users_with_orders"),

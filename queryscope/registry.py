@@ -16,19 +16,19 @@ from pyspark.sql import functions as F
 
 from queryscope.functions import vocab as V
 from queryscope.operators import engagement as E
-from queryscope.operators import delta, distinct, etl, impute, quality, typos
+from queryscope.operators import delta, distinct, etl, impute, quality, sales_state, top_terms, typos
 from queryscope.operators import measures as M
 from queryscope.operators import metrics as C
 from queryscope.operators.typo_index import TypoIndex
 from queryscope.operators import zero as Z
 from queryscope.params import (AS_OF_30D, AS_OF_ETL, ETL_PROCESSED_AT, REPORT_END, REPORT_START,
                                RETENTION_AS_OF, RETENTION_CURATED_AS_OF)
-from queryscope.plans import marts, nightly
+from queryscope.plans import marts, nightly, user_days
 from queryscope.session import shared_path
 from queryscope.sources import fixtures as fx
 from queryscope.sources.external import ExternalSource, read_external
 from queryscope.sources.shards import write_daily_shards
-from queryscope.sources.sinks import export_csv, write_table
+from queryscope.sources.sinks import export_csv, write_clustered, write_table
 from queryscope.streaming.ingest import start_incremental_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +59,37 @@ def _c3(spark, sf):
     return C.conversion_funnel(fx.canonical_events(spark, sf), fx.orders(spark, sf), AS_OF_30D)
 
 
+def _user_tables(spark, sf):
+    tables = (user_days.user_days(fx.canonical_events(spark, sf)), user_days.order_days(fx.orders(spark, sf)))
+    return [user_days.save_by_user(t, f"{name}_{uuid.uuid4().hex[:8]}", shared_path(spark, name), 16)
+            for name, t in zip(("user_days", "order_days"), tables)]
+
+
+@register("conversion_funnel_by_user_days")
+def _c3_days(spark, sf):
+    return user_days.conversion_funnel(*_user_tables(spark, sf), AS_OF_30D)
+
+
+@register("search_to_conversion_by_user_days")
+def _e5_days(spark, sf):
+    return user_days.search_to_conversion(*_user_tables(spark, sf), REPORT_START, REPORT_END)
+
+
+@register("search_conversion_rate_by_user_days")
+def _m16_days(spark, sf):
+    return user_days.search_conversion_rate(*_user_tables(spark, sf))
+
+
+@register("zero_result_terms_range")
+def _c2_range(spark, sf):
+    """Top 50 of a range that no table was built for, from daily counts."""
+    path = shared_path(spark, "daily-terms")
+    ev = fx.canonical_events(spark, sf)
+    top_terms.store_daily_terms(ev.filter((F.col("event_category") == V.SEARCH_CATEGORY) & (F.col("event_name") == V.PAGE_VIEW)
+                                          & (F.col("page_name") == V.RESULT_PAGE) & (F.col("search_result_count") == 0)), path)
+    return top_terms.top_terms(spark, path, REPORT_START, REPORT_END, V.TOP_ZERO_TERMS_SQL)[0]
+
+
 @register("click_position_by_label")
 def _c4(spark, sf):
     return C.click_position_by_label(fx.canonical_events(spark, sf), AS_OF_30D)
@@ -115,6 +146,14 @@ def _a6(spark, sf):
     return etl.read_fact(spark, path)
 
 
+@register("fact_clustered")
+def _a6_clustered(spark, sf):
+    """The fact ordered by user within its days, with bloom filters."""
+    path = shared_path(spark, "search_events_fact")
+    write_clustered(_backfill_fact(spark, sf), path)
+    return etl.read_fact(spark, path)
+
+
 @register("fact_table")
 def _a6_table(spark, sf):
     """Two nights loaded into a catalog table, read by its name."""
@@ -281,6 +320,30 @@ def _i4(spark, sf):
     return impute.total_sales_cleaned(impute.sales_groups(fx.sales(spark, sf)), ["region"])
 
 
+def _sales_state(spark, sf):
+    """The sales' state, written in two loads (the second brings the later days)."""
+    path, sales = shared_path(spark, "sales-state"), typos.materialize(fx.sales(spark, sf), "sales")
+    half = F.col("order_date") < F.lit(_dt.date(1995, 6, 1))
+    sales_state.store_days(sales.filter(half), path)
+    sales_state.store_days(sales.filter(~half), path)
+    return sales_state.merged_groups(spark, path)
+
+
+@register("regional_product_avg_from_state")
+def _i1_state(spark, sf):
+    return sales_state.product_avg(_sales_state(spark, sf))
+
+
+@register("total_sales_from_state")
+def _i4_state(spark, sf):
+    return impute.total_sales_cleaned(_sales_state(spark, sf), ["region"])
+
+
+@register("imputation_summary_from_state")
+def _d4_state(spark, sf):
+    return quality.imputation_summary(_sales_state(spark, sf))
+
+
 @register("imputation_summary")
 def _d4(spark, sf):
     return quality.imputation_summary(impute.sales_groups(fx.sales(spark, sf)))

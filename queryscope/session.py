@@ -93,3 +93,9 @@ def shared_dir(spark: SparkSession) -> str:
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder for a written intermediate table."""
     return os.path.join(shared_dir(spark), "queryscope", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Is there anything at ``path`` (of any file system Spark reaches)?"""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(p)
