@@ -3,26 +3,25 @@
 Lines are parsed by a tree of fixed depth: the first level is the number of
 tokens, the next ``DEPTH`` levels are the leading tokens.  Tokens that hold
 a digit are variable.  Within a leaf a token is constant at its position if
-lines of at least ``MIN_DOCS`` texts have it there, and variable otherwise;
-a line whose constants make up ``CONSTANT`` of its tokens belongs to the
-template of these constants, any other line is its own template.  A
-template that occurs in ``MIN_DOCS`` different texts or more is boilerplate
-and its lines are dropped.  Equal texts count once, and a document that
-would lose more than ``MOST`` of its characters is left whole: such
-documents are copies of each other, which document-level deduplication
-deals with, not carriers of boilerplate.
-
-With ``masks=False``, as in the pipeline, a variable token is no constant: a
-line of which they leave less than ``CONSTANT`` is its own template with its
-digits, so that rows of numbers are dropped only where they recur as they
-are.  The query and its SQL form take the mask as a constant token.
+``MIN_DOCS`` different texts or more have it there, and variable otherwise; a
+line whose constants make up ``CONSTANT`` of its tokens belongs to the
+template of these constants, any other line is its own template.  A line of
+which tokens with a digit leave less than ``CONSTANT`` is its own template as
+it is, digits included, so rows of numbers are dropped only where they recur.
+A template that occurs in ``MIN_DOCS`` different texts or more is boilerplate
+and its lines are dropped.  Equal texts count once, and so do the lines of one
+text.  A document that would lose more than ``MOST`` of its characters is left
+whole: such documents are taken for copies of each other, which
+document-level deduplication deals with, not for carriers of boilerplate.
 
 Plan.  One pass counts the leaves.  Frequent leaves are marked in a bitmap
-of fixed size (a superset is harmless, as counts are exact later on); a
-second pass sends only lines of marked leaves, each distinct line's tokens
-once per task.  Templates come from distinct lines with their counts, so a
-line that a third of all documents have is one row.  Texts are shuffled
-once, to meet the lines they lose.
+of sixteen bits a leaf (a superset is harmless, as counts are exact later
+on); a second pass sends only lines of marked leaves, each distinct line's
+tokens once per task.  A line that ``MIN_DOCS`` texts have settles its tokens
+and its template by its count alone; only lines of fewer texts carry the
+texts they stand in, fewer than ``MIN_DOCS`` hashes each, to count different
+ones.  So a line that a third of all documents have is one row.  Texts are
+shuffled once, to meet the lines they lose.
 
 Cases: null text stays null and has no lines; blank lines are kept and do
 not count; lines are split at line feeds and otherwise kept byte by byte;
@@ -46,7 +45,8 @@ DEPTH = 3
 MIN_DOCS = 10
 CONSTANT = 0.7
 MOST = 0.5
-BITS = 24  # the bitmap has 2**BITS bits
+#: The bitmap has 2**MOST_BITS bits at most.
+MOST_BITS = 28
 
 _variable = re.compile(r"\d").search
 
@@ -64,9 +64,9 @@ def leaf(tokens: list[str]) -> int:
     return signed(xxhash.xxh64_intdigest("\x1f".join([str(len(tokens)), *masked(tokens[:DEPTH])])))
 
 
-def line_hash(tokens: list[str], masks: bool = True) -> int:
+def line_hash(tokens: list[str]) -> int:
     """Hash of the masked line, or of the line itself where too little besides the masks is left."""
-    if not masks and sum(not _variable(t) for t in tokens) < CONSTANT * len(tokens):
+    if sum(not _variable(t) for t in tokens) < CONSTANT * len(tokens):
         return signed(xxhash.xxh64_intdigest("\x1f".join(["", *tokens])))
     return signed(xxhash.xxh64_intdigest("\x1f".join(masked(tokens))))
 
@@ -85,17 +85,19 @@ def leaves(docs: DataFrame) -> DataFrame:
 
 
 def bitmap(frequent: DataFrame) -> np.ndarray:
-    """Marks of hashes in 2**BITS bits; the driver gets a row for each 64 bits at most."""
-    words = (frequent.select(F.shiftrightunsigned("leaf", 64 - BITS).alias("at"))
+    """Marks of hashes, about sixteen bits each; the driver gets a row for each 64 bits at most."""
+    bits = min(MOST_BITS, max(12, frequent.count().bit_length() + 4))
+    words = (frequent.select(F.shiftrightunsigned("leaf", 64 - bits).alias("at"))
              .select(F.shiftright("at", 6).alias("word"), F.expr("shiftleft(1L, int(at & 63))").alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")))
-    out = np.zeros(1 << (BITS - 6), dtype=np.int64)
+    out = np.zeros(1 << (bits - 6), dtype=np.int64)
     for r in words.toLocalIterator():
         out[r["word"]] = r["bits"]
     return out
 
 
-def candidate_lines(docs: DataFrame, marks: np.ndarray, masks: bool = True) -> DataFrame:
+def candidate_lines(docs: DataFrame, marks: np.ndarray) -> DataFrame:
     """key, leaf, line, tokens for lines of marked leaves, once per row; tokens once per task and line (null: variable, no constant)."""
+    shift = 64 - (len(marks).bit_length() + 5)
     schema = pa.schema([("key", pa.int64()), ("copy", pa.int64()), ("leaf", pa.int64()), ("line", pa.int64()), ("tokens", pa.list_(pa.int64()))])
 
     def run(batches):
@@ -111,10 +113,10 @@ def candidate_lines(docs: DataFrame, marks: np.ndarray, masks: bool = True) -> D
                         if not k:
                             continue
                         f = leaf(k)
-                        bit = (f & (1 << 64) - 1) >> (64 - BITS)
+                        bit = (f & (1 << 64) - 1) >> shift
                         if not int(marks[bit >> 6]) >> (bit & 63) & 1:
                             continue
-                        h = line_hash(k, masks)
+                        h = line_hash(k)
                         if h in seen:
                             continue
                         seen.add(h)
@@ -123,7 +125,7 @@ def candidate_lines(docs: DataFrame, marks: np.ndarray, masks: bool = True) -> D
                             if len(sent) >= 200_000:
                                 sent.clear()
                             sent.add(h)
-                            tokens = [signed(xxhash.xxh64_intdigest(x)) if masks or x != "<*>" else None for x in masked(k)]
+                            tokens = [signed(xxhash.xxh64_intdigest(x)) if x != "<*>" else None for x in masked(k)]
                         for n, v in zip(schema.names, (key, copy, f, h, tokens)):
                             out[n].append(v)
                 at += len(texts)
@@ -132,28 +134,37 @@ def candidate_lines(docs: DataFrame, marks: np.ndarray, masks: bool = True) -> D
     return docs.select("__key", "__copy", "__text").mapInArrow(run, "key long, copy long, leaf long, line long, tokens array<long>")
 
 
+def recurring(rows: DataFrame, by: list[str]) -> DataFrame:
+    """The groups ``by`` that MIN_DOCS different texts have; rows: n texts, and these texts where they are fewer than MIN_DOCS."""
+    alone = rows.where(F.col("n") >= MIN_DOCS).select(*by).distinct()
+    few = (rows.where(F.col("n") < MIN_DOCS).select(*by, F.explode("copies").alias("copy")).distinct()
+           .groupBy(*by).agg(F.count("*").alias("m")).where(F.col("m") >= MIN_DOCS).select(*by))
+    return alone.union(few).distinct()
+
+
 def boilerplate(lines: DataFrame) -> DataFrame:
     """line hashes whose template recurs."""
-    texts = lines.groupBy("line", "copy").agg(F.max("leaf").alias("leaf"), F.max("tokens").alias("tokens"))
-    distinct = texts.groupBy("line").agg(F.max("leaf").alias("leaf"), F.count("*").alias("n"), F.max("tokens").alias("tokens"))
-    distinct = stored(distinct, "distinct-lines")
-    tokens = distinct.select("line", "leaf", "n", F.posexplode("tokens").alias("pos", "token"))
-    often = tokens.groupBy("leaf", "pos", "token").agg(F.sum("n").alias("m")).where(F.col("m") >= MIN_DOCS).drop("m")
-    marked = tokens.join(often.withColumn("constant", F.lit(True)), ["leaf", "pos", "token"], "left")
+    texts = stored(lines.groupBy("line", "copy").agg(F.max("leaf").alias("leaf"), F.max("tokens").alias("tokens")), "line-texts")
+    every = texts.groupBy("line").agg(F.max("leaf").alias("leaf"), F.count("*").alias("n"), F.max("tokens").alias("tokens"))
+    few = texts.join(every.where(F.col("n") < MIN_DOCS).select("line"), "line").groupBy("line").agg(F.collect_list("copy").alias("copies"))
+    distinct = stored(every.join(few, "line", "left"), "distinct-lines")
+    tokens = distinct.select("line", "leaf", "n", "copies", F.posexplode("tokens").alias("pos", "token"))
+    often = recurring(tokens.where("token is not null"), ["leaf", "pos", "token"])
+    marked = tokens.drop("copies").join(often.withColumn("constant", F.lit(True)), ["leaf", "pos", "token"], "left")
     shape = marked.groupBy("line").agg(
-        F.max("leaf").alias("leaf"), F.max("n").alias("n"), F.avg(F.col("constant").isNotNull().cast("int")).alias("share"),
+        F.max("leaf").alias("leaf"), F.avg(F.col("constant").isNotNull().cast("int")).alias("share"),
         F.xxhash64(F.sort_array(F.collect_list(F.when(F.col("constant"), F.struct("pos", "token"))))).alias("constants"))
-    template = shape.withColumn("template", F.when(F.col("share") >= CONSTANT, F.xxhash64("leaf", "constants")).otherwise(F.xxhash64("line")))
-    recurring = template.groupBy("template").agg(F.sum("n").alias("m")).where(F.col("m") >= MIN_DOCS).select("template")
-    return template.join(recurring, "template").select("line")
+    named = shape.select("line", F.when(F.col("share") >= CONSTANT, F.xxhash64("leaf", "constants")).otherwise(F.xxhash64("line")).alias("template"))
+    template = named.join(distinct.select("line", "n", "copies"), "line")
+    return template.join(recurring(template, ["template"]), "template").select("line")
 
 
-def drop_lines(df: DataFrame, text: str = "text", id: str = "doc_id", masks: bool = True) -> DataFrame:
+def drop_lines(df: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
     """``df`` with its text cleaned, and __lines, __dropped (numbers of lines)."""
     docs = (df.withColumn("__key", F.xxhash64(id, text)).withColumn("__copy", F.xxhash64(text))
             .withColumn("__text", F.coalesce(F.col(text).cast("string"), F.lit(""))))
-    frequent = leaves(docs).groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_DOCS)
-    lines = stored(candidate_lines(docs, bitmap(frequent), masks), "candidate-lines")
+    frequent = stored(leaves(docs).groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_DOCS).select("leaf"), "frequent-leaves")
+    lines = stored(candidate_lines(docs, bitmap(frequent)), "candidate-lines")
     bad = boilerplate(lines)
     lists = lines.select("key", "line").join(bad, "line").groupBy(F.col("key").alias("__key")).agg(F.collect_set("line").alias("__bad"))
     joined = docs.drop("__text", "__copy").join(lists, "__key", "left").select(*df.columns, "__bad")
@@ -170,7 +181,7 @@ def drop_lines(df: DataFrame, text: str = "text", id: str = "doc_id", masks: boo
                 kept = rows
                 if gone:
                     gone = set(gone)
-                    kept = [x for x in rows if not (k := x.split()) or line_hash(k, masks) not in gone]
+                    kept = [x for x in rows if not (k := x.split()) or line_hash(k) not in gone]
                     if sum(map(len, rows)) - sum(map(len, kept)) > MOST * sum(map(len, rows)):
                         kept = rows
                     texts[i] = "\n".join(kept)
@@ -191,24 +202,23 @@ OP10_SQL = f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
 l AS (SELECT rid, doc_id, text, unnest(x) AS line, unnest(range(len(x))) AS pos
   FROM (SELECT *, CASE WHEN text = '' THEN [] ELSE string_split(text, chr(10)) END AS x FROM d)),
-m AS (SELECT rid, doc_id, text, line, pos, list_transform(regexp_extract_all(line, '\\S+'),
-  lambda w: CASE WHEN regexp_matches(w, '\\d') THEN '<*>' ELSE w END) AS m FROM l),
-often AS (SELECT n, lead FROM (SELECT DISTINCT rid, len(m) AS n, m[1:{DEPTH}] AS lead FROM m WHERE len(m) > 0)
-  GROUP BY n, lead HAVING count(*) >= {MIN_DOCS}),
-u AS (SELECT m, count(DISTINCT text) AS c FROM m WHERE len(m) > 0 GROUP BY m),
-f AS (SELECT u.m, u.c, n, lead FROM u JOIN often ON len(u.m) = n AND u.m[1:{DEPTH}] = lead),
-t AS (SELECT m, c, n, lead, unnest(m) AS w, unnest(range(n)) AS i FROM f),
-k AS (SELECT n, lead, i, w FROM t GROUP BY ALL HAVING sum(c) >= {MIN_DOCS}),
-q AS (SELECT t.m, any_value(t.c) AS c, any_value(t.n) AS n, any_value(t.lead) AS lead, count(k.w) / count(*) AS share,
-    list(CASE WHEN k.w IS NULL THEN '' ELSE t.w END ORDER BY t.i) AS kept
-  FROM t LEFT JOIN k ON k.n = t.n AND k.lead = t.lead AND k.i = t.i AND k.w = t.w GROUP BY t.m),
-z AS (SELECT *, CASE WHEN share >= {CONSTANT} THEN kept ELSE ['own', array_to_string(m, ' ')] END AS template,
+w AS (SELECT *, regexp_extract_all(line, '\\S+') AS w FROM l),
+v AS (SELECT *, list_transform(w, lambda x: CASE WHEN regexp_matches(x, '\\d') THEN '<*>' ELSE x END) AS m FROM w),
+m AS (SELECT *, CASE WHEN len(list_filter(m, lambda x: x <> '<*>')) < {CONSTANT} * len(m) THEN list_prepend('', w) ELSE m END AS k FROM v),
+u AS (SELECT DISTINCT k, m, len(m) AS n, m[1:{DEPTH}] AS lead, md5(text) AS copy FROM m WHERE len(m) > 0),
+t AS (SELECT k, n, lead, copy, unnest(m) AS x, unnest(range(n)) AS i FROM u),
+c AS (SELECT n, lead, i, x FROM t WHERE x <> '<*>' GROUP BY ALL HAVING count(DISTINCT copy) >= {MIN_DOCS}),
+q AS (SELECT t.k, any_value(t.n) AS n, any_value(t.lead) AS lead, count(c.x) / count(*) AS share,
+    list(CASE WHEN c.x IS NULL THEN '' ELSE t.x END ORDER BY t.i) AS kept
+  FROM (SELECT DISTINCT k, n, lead, x, i FROM t) t LEFT JOIN c ON c.n = t.n AND c.lead = t.lead AND c.i = t.i AND c.x = t.x GROUP BY t.k),
+z AS (SELECT k, CASE WHEN share >= {CONSTANT} THEN kept ELSE list_prepend('own', k) END AS template,
     CASE WHEN share >= {CONSTANT} THEN lead ELSE [] END AS under FROM q),
-bad AS (SELECT m FROM z JOIN (SELECT template, under FROM z GROUP BY ALL HAVING sum(c) >= {MIN_DOCS}) USING (template, under)),
+often AS (SELECT template, under FROM z JOIN u USING (k) GROUP BY ALL HAVING count(DISTINCT copy) >= {MIN_DOCS}),
+bad AS (SELECT k FROM z JOIN often USING (template, under)),
 e AS (SELECT m.rid, any_value(m.doc_id) AS doc_id, any_value(m.text) AS text, count(*) AS n_lines, sum(len(line)) AS size,
-    sum(CASE WHEN bad.m IS NULL THEN len(line) ELSE 0 END) AS kept_size, count(bad.m) AS lost,
-    coalesce(array_to_string(list(line ORDER BY pos) FILTER (WHERE bad.m IS NULL), chr(10)), '') AS kept
-  FROM m LEFT JOIN bad ON bad.m = m.m GROUP BY m.rid)
+    sum(CASE WHEN bad.k IS NULL THEN len(line) ELSE 0 END) AS kept_size, count(bad.k) AS lost,
+    coalesce(array_to_string(list(line ORDER BY pos) FILTER (WHERE bad.k IS NULL), chr(10)), '') AS kept
+  FROM m LEFT JOIN bad ON bad.k = m.k GROUP BY m.rid)
 SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines,
   CASE WHEN size - kept_size > {MOST} * size THEN 0 ELSE coalesce(lost, 0) END AS n_dropped,
   sha256(CASE WHEN e.rid IS NULL OR size - kept_size > {MOST} * size THEN d.text ELSE kept END) AS kept_sha256

@@ -72,28 +72,34 @@ def byte_repeats(docs, length=100):
 
 
 def line_templates(rows, min_docs=10, depth=3, constant=0.7, most=0.5):
-    """rows: (doc_id, text)."""
-    mask = lambda line: tuple("<*>" if re.search(r"\d", t) else t for t in line.split())
-    n, leaves = collections.Counter(), collections.Counter()
+    """rows: (doc_id, text).  Written from the rule: every count is of different texts."""
+    def parse(line):
+        """(tokens, number of tokens and leading ones, which tokens may be constant, the line's own name)"""
+        raw = line.split()
+        m = ["<*>" if re.search(r"\d", x) else x for x in raw]
+        few = sum(x != "<*>" for x in m) < constant * len(m)
+        return tuple(m), (len(m), tuple(m[:depth])), (("raw", *raw) if few else tuple(m))
+
+    have, token_texts, template_texts = {}, collections.defaultdict(set), collections.defaultdict(set)
     for t in {t for _, t in rows}:
-        n.update({mask(x) for x in t.split("\n") if x.split()})
-    for _, t in rows:
-        leaves.update({(len(m), m[:depth]) for m in (mask(x) for x in t.split("\n") if x.split())})
-    lines = {m: c for m, c in n.items() if leaves[len(m), m[:depth]] >= min_docs}
-    at = collections.Counter()
-    for m, c in lines.items():
-        for i, x in enumerate(m):
-            at[len(m), m[:depth], i, x] += c
-    template, total = {}, collections.Counter()
-    for m, c in lines.items():
-        k = tuple(x if at[len(m), m[:depth], i, x] >= min_docs else None for i, x in enumerate(m))
-        template[m] = (len(m), m[:depth], k) if sum(x is not None for x in k) / len(k) >= constant else ("own", m)
-        total[template[m]] += c
-    bad = {m for m in lines if total[template[m]] >= min_docs}
+        for line in t.split("\n"):
+            if line.split():
+                m, leaf, name = parse(line)
+                have[name] = (m, leaf)
+                template_texts["own", name].add(t)
+                for i, x in enumerate(m):
+                    token_texts[leaf, i, x].add(t)
+    template = {}
+    for name, (m, leaf) in have.items():
+        k = tuple(x if x != "<*>" and len(token_texts[leaf, i, x]) >= min_docs else None for i, x in enumerate(m))
+        template[name] = (leaf, k) if sum(x is not None for x in k) / len(k) >= constant else ("own", name)
+    for name, t in template.items():
+        if t[0] != "own":
+            template_texts[t] |= template_texts["own", name]
     out = []
     for d, t in rows:
         all_ = t.split("\n") if t else []
-        kept = [x for x in all_ if not x.split() or mask(x) not in bad]
+        kept = [x for x in all_ if not x.split() or len(template_texts[template[parse(x)[2]]]) < min_docs]
         if sum(map(len, all_)) - sum(map(len, kept)) > most * sum(map(len, all_)):
             kept = all_
         out.append((d, len(all_), len(all_) - len(kept), hashlib.sha256("\n".join(kept).encode()).hexdigest()))

@@ -249,6 +249,33 @@ def test_the_pipeline_keeps_lines_that_agree_only_in_having_digits(spark):
     assert got == {i: [x for x in t.split("\n") if x != "1 2 3" and not x.startswith("Page ")] for i, t, *_ in table}
 
 
+def lines_left(spark, texts):
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted((r.doc_id, r["__lines"], r["__dropped"]) for r in line_templates.drop_lines(df).collect())
+    assert got == [x[:3] for x in brute.line_templates(rows)]
+    return got
+
+
+def test_different_rows_of_numbers_stay(spark):
+    got = lines_left(spark, ["\n".join([words(30, 700 + i), f"{i} {i * 7} {i * 31}", f"H{i}O", words(30, 800 + i)]) for i in range(12)])
+    assert not any(n for *_, n in got)
+
+
+def test_one_text_counts_once_however_many_lines_and_copies_it_has(spark):
+    own = "\n".join(["This part was written by " + words(1, 40 + i) + " for the paper" for i in range(12)] + [words(90, 5)])
+    got = lines_left(spark, [own] * 12 + [words(40, 60 + i) for i in range(5)])
+    assert not any(n for *_, n in got)
+    two = [own.replace("paper", "paper"), own + " end"]  # two texts with twelve such lines each
+    assert not any(n for *_, n in lines_left(spark, two * 3))
+
+
+def test_ten_texts_with_one_line_each_are_enough(spark):
+    texts = [f"{words(40, 100 + i)}\nThis part was written by {words(1, 40 + i)} for the paper\n{words(40, 200 + i)}" for i in range(10)]
+    assert all(n == 1 for *_, n in lines_left(spark, texts))
+    assert not any(n for *_, n in lines_left(spark, texts[:9] * 3))
+
+
 @pytest.mark.parametrize("copies,size", [(200, 300), (600, 120)])
 def test_groups_on_both_sides_of_the_threshold(spark, copies, size):
     """Near copies with so many edits that their likeness to each other lies around 0.75, against all pairs."""
