@@ -37,7 +37,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
@@ -47,6 +47,7 @@ FEATURES = 1 << 14
 LABELS = 1000   # far above the languages of any labelled corpus
 LEAST = 1000    # trigrams: a class of fewer is hardly other than undetermined
 DISCOUNT = 0.2
+HELD = 4096     # vectors a task holds before it sends them
 WEIGHT = 5.0
 
 _low = np.arange(256, dtype=np.uint32)
@@ -114,43 +115,71 @@ def plain(markup: str) -> str:
 
 
 def scored(df: DataFrame, model: np.ndarray, markup: bool = False) -> DataFrame:
-    """``df`` without its text, with ``n`` trigrams and ``score`` (discounted log-likelihoods)."""
+    """``df`` without its text, with ``n`` trigrams, ``score`` (discounted log-likelihoods) and ``p`` (posterior of the text alone)."""
     kept = [c for c in df.columns if c != "text"]
-    out = df.select(*kept, F.lit(0).cast("long").alias("n"), F.array(F.lit(0.0)).alias("score")).schema
+    empty = F.array(F.lit(0.0))
+    out = df.select(*kept, F.lit(0).cast("long").alias("n"), empty.alias("score"), empty.alias("p")).schema
     at_text = df.columns.index("text")
     width = model.shape[1]
+    some = max(1 << 12, min(1 << 18, (1 << 22) // width))  # trigrams whose scores are held at once
 
     def run(batches):
         for b in batches:
             at = 0
-            for texts in per_text(b.column(at_text), 1 << 18):
+            for texts in per_text(b.column(at_text), some):
                 f, first = trigrams([plain(t) for t in texts] if markup else texts)
                 total = np.zeros((len(texts), width))
-                full = np.flatnonzero(np.diff(first))
-                if len(full):
-                    total[full] = np.add.reduceat(model[f], first[:-1][full], axis=0, dtype=np.float64)
+                if len(f) <= 2 * some:
+                    full = np.flatnonzero(np.diff(first))
+                    if len(full):
+                        total[full] = np.add.reduceat(model[f], first[:-1][full], axis=0, dtype=np.float64)
+                else:  # one long text
+                    for i, (x, y) in enumerate(zip(first[:-1], first[1:])):
+                        for z in range(x, y, some):
+                            total[i] += model[f[z:min(y, z + some)]].sum(0, dtype=np.float64)
                 part = b.slice(at, len(texts))
                 at += len(texts)
-                score = pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1, dtype=np.int32) * width), pa.array(total.ravel() * DISCOUNT))
+                total *= DISCOUNT
                 cols = [c for i, c in enumerate(part.columns) if i != at_text]
-                yield pa.RecordBatch.from_arrays([*cols, pa.array(np.diff(first)), score], names=out.names)
+                yield pa.RecordBatch.from_arrays([*cols, pa.array(np.diff(first)), lists(total), lists(softmax(total))], names=out.names)
 
     return df.mapInArrow(run, out)
 
 
-def softmax(score: Column, width: int) -> Column:
-    top = F.array_max(score)
-    e = [F.exp(score[i] - top) for i in range(width)]
-    total = sum(e[1:], e[0])
-    return F.array(*[x / total for x in e])
+def softmax(score: np.ndarray) -> np.ndarray:
+    e = np.exp(score - score.max(1, keepdims=True))
+    return e / e.sum(1, keepdims=True)
 
 
-def sums(width: int) -> list[Column]:
-    return [F.sum(F.col("p")[i]).alias(f"n{i}") for i in range(width)]
+def lists(rows: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]), pa.array(rows.ravel()))
 
 
-def vector(width: int, prefix: str = "n") -> Column:
-    return F.array(*[F.col(f"{prefix}{i}") for i in range(width)])
+def sums(rows: DataFrame, key: str) -> DataFrame:
+    """key, n: the sum of the vectors ``p`` of each key; tasks add up theirs first, so a host of very many rows is a row a task."""
+    def run(batches):
+        held: dict = {}
+
+        def send():
+            done = pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), lists(np.array(list(held.values())))], names=[key, "p"])
+            held.clear()
+            return done
+
+        for b in batches:
+            p = b.column(1).flatten().to_numpy().reshape(b.num_rows, -1) if b.num_rows else []
+            for k, v in zip(b.column(0).to_pylist(), p):
+                if k in held:
+                    held[k] += v
+                else:
+                    held[k] = v.copy()
+            if len(held) >= HELD:
+                yield send()
+        if held:
+            yield send()
+
+    each = rows.where(F.col(key).isNotNull()).select(key, "p").mapInArrow(run, f"`{key}` string, p array<double>")
+    total = each.select(key, F.posexplode("p").alias("pos", "x")).groupBy(key, "pos").agg(F.sum("x").alias("x"))
+    return total.groupBy(key).agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "x"))), lambda v: v["x"]).alias("n"))
 
 
 def fused(rows: DataFrame, langs: list[str]) -> DataFrame:
@@ -159,26 +188,30 @@ def fused(rows: DataFrame, langs: list[str]) -> DataFrame:
     ``lang`` is null where the row is rejected.
     """
     width = len(langs) + 1
-    base = stored(rows.withColumn("p", softmax(F.col("score"), width)), "language-scores")
+    base = stored(rows, "language-scores")
     everything = base.where("n > 0")
-    overall = F.broadcast(everything.agg(F.array(*[F.coalesce(c, F.lit(0.0)) for c in sums(width)]).alias("overall")))  # one row
+    nothing = F.array_repeat(F.lit(0.0), width)
+    every = sums(everything.select(F.lit("").alias("all"), "p"), "all")
+    overall = F.broadcast(every.agg(F.coalesce(F.first("n"), nothing).alias("overall")))  # one row
 
     def likelihood(key: str) -> DataFrame:
         """key, log P(key | language)."""
-        by = everything.where(F.col(key).isNotNull()).groupBy(key).agg(*sums(width))
-        total = by.agg(F.count("*").alias("values"), *[F.sum(f"n{i}").alias(f"t{i}") for i in range(width)])
-        return by.crossJoin(F.broadcast(total)).select(F.col(key), F.array(*[
-            F.log((F.col(f"n{i}") + 0.5) / (F.col(f"t{i}") + 0.5 * F.col("values"))) for i in range(width)]).alias(f"{key}_score"))
+        by = sums(everything, key)
+        per_label = by.select(F.posexplode("n").alias("pos", "x")).groupBy("pos").agg(F.sum("x").alias("x"))
+        total = per_label.agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "x"))), lambda v: v["x"]).alias("t"))
+        values = by.agg(F.count("*").alias("values"))
+        return by.crossJoin(F.broadcast(total.crossJoin(values))).select(key, F.zip_with(  # one row
+            "n", "t", lambda n, t: F.log((n + 0.5) / (t + 0.5 * F.col("values")))).alias(f"{key}_score"))
 
     def counts(key: str) -> DataFrame:
-        return everything.where(F.col(key).isNotNull()).groupBy(key).agg(*sums(width)).select(key, vector(width).alias(f"{key}_n"))
+        return sums(everything, key).withColumnRenamed("n", f"{key}_n")
 
     joined = base.crossJoin(overall)
     for key in ("declared", "suffix"):
         joined = joined.join(likelihood(key), key, "left")
     for key in ("domain", "host"):
         joined = joined.join(counts(key), key, "left")
-    kept = [c for c in rows.columns if c not in ("n", "score")]
+    kept = [c for c in rows.columns if c not in ("n", "score", "p")]
     parts = ("n", "p", "score", "overall", "domain_n", "host_n", "declared_score", "suffix_score")
     names = [*langs, None]
     classes = set(langs)

@@ -17,8 +17,9 @@ are, so many equal vectors are spread like any others.
 Cases: rows whose id or vector is null, or whose vector holds null or
 non-finite components, take no part; rows that repeat an id count once,
 with the smallest vector; shorter vectors count as filled up with zeros; an
-empty table gives no rows; scores beyond a 64-bit integer are its largest
-or smallest value, and tie there.
+empty table gives no rows; components whose 256-fold is beyond a double are
+the largest double; scores beyond a 64-bit integer are its largest or
+smallest value, and tie there.
 """
 
 from __future__ import annotations
@@ -36,6 +37,7 @@ PIVOTS = 16
 FIRST = 64         # candidates evaluated at first, then as many again each time
 EXACT = 2.0 ** 53
 LEAST, MOST = -2 ** 63, 2 ** 63 - 1
+LARGEST = np.finfo(np.float64).max
 
 
 def usable(df: DataFrame) -> DataFrame:
@@ -66,7 +68,8 @@ def stacked(rows: list) -> np.ndarray:
     out = np.zeros((len(rows), max(1, max(map(len, rows)))))
     for r, v in zip(out, rows):
         r[:len(v)] = v
-    return np.floor(256.0 * out)
+    with np.errstate(over="ignore"):
+        return np.clip(np.floor(256.0 * out), -LARGEST, LARGEST)
 
 
 def lifted(x: np.ndarray, m2: float) -> np.ndarray:

@@ -136,14 +136,86 @@ def test_language_of_unlabelled_text_is_held_out_accurate(spark, small):
 
 
 def test_host_prior_decides_where_the_text_cannot(spark):
-    rows = [(i, "le la les des une pour dans " * 20, "fr", "h1") for i in range(30)] + [(100 + i, "the of and to in that is " * 20, "en", "h2") for i in range(30)]
-    docs = spark.createDataFrame([*rows, (200, "xq le", None, "h1"), (201, "xq le", None, "h2")], "doc_id long, text string, lang string, source string")
+    """One text of trigrams that no language has, on two hosts of one language each and on a host of its own."""
+    rows = [(i, "le la les des une pour dans " * 20, "fr", "h1") for i in range(30)] + [(100 + i, "of the and to in that is up " * 20, "en", "h2") for i in range(30)]
+    odd = [(200, "qzxj", None, "h1"), (201, "qzxj", None, "h2"), (202, "qzxj", None, "h3")]
+    docs = spark.createDataFrame([*rows, *odd], "doc_id long, text string, lang string, source string")
     langs, model = language_id.fit(docs)
-    model[:] = model.mean(1, keepdims=True)  # a text model that knows nothing
-    model[:, -1] -= 1.0
-    base = language_id.scored(language_id.document_rows(docs), model)
-    out = {r.doc_id: r for r in language_id.fused(base, langs).collect()}
-    assert len(out) == 62 and out[200].lang == "fr" or out[200].posterior <= 1.0
+    out = {r.doc_id: r for r in language_id.fused(language_id.scored(language_id.document_rows(docs), model), langs).collect()}
+    assert len(out) == 63 and out[200].lang == "fr" and out[201].lang == "en"
+    assert out[200].posterior > 0.8 and out[201].posterior > 0.8 > out[202].posterior
+
+
+def plain_fusion(rows, langs):
+    """(key, declared, suffix, domain, host, score) -> key -> posterior vector: text x declared x suffix x host prior, row by row."""
+    width = len(langs) + 1
+    p = {r[0]: np.exp(np.array(r[5]) - max(r[5])) for r in rows}
+    p = {k: v / v.sum() for k, v in p.items()}
+
+    def counted(i, value, without=None):
+        return sum((p[r[0]] for r in rows if r[i] == value and r[0] != without), np.zeros(width))
+
+    out = {}
+    for key, *evidence, score in rows:
+        log = np.array(score)
+        for i in (1, 2):  # declared language, address suffix
+            value = evidence[i - 1]
+            if value is not None:
+                values = {r[i] for r in rows} - {None}
+                total = sum((counted(i, v) for v in values), np.zeros(width))
+                log = log + np.log((counted(i, value) + 0.5) / (total + 0.5 * len(values)))
+        prior = np.full(width, 1 / width)
+        for n in (sum(p.values()) - p[key], *(counted(i, evidence[i - 1], key) for i in (3, 4) if evidence[i - 1] is not None)):
+            prior = (n + language_id.WEIGHT * prior) / (n.sum() + language_id.WEIGHT)
+        log = log + np.log(prior)
+        e = np.exp(log - log.max())
+        out[key] = e / e.sum()
+    return out
+
+
+@pytest.mark.parametrize("held", [1, 4096])
+def test_fusion_equals_the_plain_form(spark, monkeypatch, held):
+    import random
+    monkeypatch.setattr(language_id, "HELD", held)
+    r = random.Random(held)
+    langs = ["de", "en", "fr"]
+    rows = []
+    for i in range(120):
+        host = r.choice([None, "a.x.fr", "b.x.fr", "c.y.de", "hot.z.com"])
+        rows.append((i, r.choice([None, "de", "en", "fr", "xx"]), host and host.split(".")[-1], host and ".".join(host.split(".")[1:]), host,
+                     [r.uniform(-3, 0) for _ in range(4)]))
+    rows += [(200 + i, "en", "com", "z.com", "hot.z.com", [0.0, 2.0, 0.0, 0.0]) for i in range(60)]
+    table = [(k, k, None, d, s, o, h, 5, sc, language_id.softmax(np.array([sc]))[0].tolist()) for k, d, s, o, h, sc in rows]
+    df = spark.createDataFrame(table, "key long, doc_id long, page_id long, declared string, suffix string, domain string, host string, n long, "
+                                      "score array<double>, p array<double>").repartition(5)
+    want = plain_fusion(rows, langs)
+    for x in language_id.fused(df, langs).collect():
+        best = want[x.key]
+        assert abs(x.posterior - best.max()) < 1e-9
+        label = [*langs, None][int(best.argmax())]
+        assert x.lang == (label if label is not None or x.declared in langs else x.declared)
+
+
+def test_a_thousand_labels(spark):
+    """As many classes as the bound allows, each with letters of its own."""
+    rows = [(i, "".join(chr(0x4E00 + 20 * i + j) for j in range(20)) * 18, f"l{i:04}", "s") for i in range(1000)]
+    rows += [(5000 + i, rows[i][1][:120], None, "t") for i in range(0, 1000, 100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(4)
+    langs, model = language_id.fit(docs)
+    assert len(langs) == 1000
+    got = {r.doc_id: r.lang for r in language_id.fused(language_id.scored(language_id.document_rows(docs), model), langs).collect()}
+    right = np.mean([got[i] == f"l{i:04}" for i in range(1000)])
+    assert right > 0.99 and all(got[5000 + i] == f"l{i:04}" for i in range(0, 1000, 100))
+
+
+def test_scores_of_huge_components_are_defined(spark):
+    rows = [(0, [1e307, 1.0]), (1, [-1e308, 0.0]), (2, [1.0, 1.0]), (3, [1e300, 1e300]), (50, [1e308, -1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in pivot_topk.top_k(df, k=2).collect()}
+    top, least = 2**63 - 1, -2**63
+    assert got[0, 1] == (2, top) and got[0, 2] == (3, top) and got[50, 1] == (0, top) and got[50, 2] == (2, top)
+    every = {(r.query_id, r.vec_id): r.score for r in pivot_topk.top_k(df, k=5).collect()}
+    assert every[0, 1] == every[50, 1] == least
 
 
 def test_noise_is_rejected(spark, small):
