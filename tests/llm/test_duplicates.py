@@ -249,6 +249,26 @@ def test_the_pipeline_keeps_lines_that_agree_only_in_having_digits(spark):
     assert got == {i: [x for x in t.split("\n") if x != "1 2 3" and not x.startswith("Page ")] for i, t, *_ in table}
 
 
+def test_near_duplicates_behind_a_shorter_common_text_are_found(spark):
+    """Passages of 66 words with one word changed, 36 words of which ten earlier documents have: recall against all pairs."""
+    r, docs, want = random.Random(11), {}, []
+    for g in range(60):
+        passage = words(66, 5000 + g).split()
+        at = (0, 15, 30)[g % 3]
+        for i in range(10):
+            docs[100 * g + i] = words(40, 10**6 + 100 * g + i) + " " + " ".join(passage[at:at + 36]) + " " + words(40, 2 * 10**6 + 100 * g + i)
+        docs[100 * g + 50] = words(60, 3 * 10**6 + g) + " " + " ".join(passage) + " " + words(60, 4 * 10**6 + g)
+        passage[r.choice([i for i in range(66) if not at <= i < at + 36])] = "changed"  # in its own part
+        docs[100 * g + 60] = words(30, 5 * 10**6 + g) + " " + " ".join(passage) + " " + words(30, 6 * 10**6 + g)
+        want.append((100 * g + 60, 100 * g + 50))
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(5)
+    found = {(x.doc_id, x.source_id): x for x in passages.repeated_passages(df).collect()}
+    assert all(x.similarity >= 0.75 and x.end - x.start >= 50 for x in found.values())
+    print("recall", np.mean([w in found for w in want]))
+    assert np.mean([w in found for w in want]) >= 0.95
+    assert set(found) <= set(want)
+
+
 def lines_left(spark, texts):
     rows = list(enumerate(texts))
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
