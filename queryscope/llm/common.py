@@ -125,3 +125,17 @@ def spans(lengths) -> pa.Array:
     out = np.zeros(len(lengths) + 1, dtype=np.int32)
     np.cumsum(lengths, out=out[1:])
     return pa.array(out, pa.int32())
+
+
+def slices(batches, rows: int = 500):
+    """Arrow batches cut into parts of at most ``rows`` rows, for steps that hold a part as Python objects."""
+    for b in batches:
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)
+
+
+def buckets_for(df: DataFrame, least: int, bytes_each: int = 4 << 20, most: int = 1 << 15) -> int:
+    """How many buckets to deal the texts of ``df`` to: by the size the planner knows of its files, so that a bucket stays small."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, partitions, min(most, size // bytes_each))

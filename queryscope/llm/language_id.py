@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
-from queryscope.llm.common import documents, per_text, stored, text_or_empty
+from queryscope.llm.common import documents, per_text, small_batches, stored, text_or_empty
 
 FEATURES = 1 << 14
 LABELS = 1000   # far above the languages of any labelled corpus
@@ -100,8 +100,10 @@ def fit(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
 
     table = np.zeros((len(langs) + 1, FEATURES))
     if langs:
-        for r in labelled.mapInArrow(count, "lang int, feature int, n long").groupBy("lang", "feature").agg(F.sum("n").alias("n")).toLocalIterator():
-            table[r["lang"], r["feature"]] = r["n"]  # languages * FEATURES rows at most
+        counted = labelled.mapInArrow(count, "lang int, feature int, n long").groupBy("lang", "feature").agg(F.sum("n").alias("n"))
+        with small_batches(labelled.sparkSession):
+            for r in counted.toLocalIterator():
+                table[r["lang"], r["feature"]] = r["n"]  # languages * FEATURES rows at most
         some = table[:-1].sum(1) >= LEAST
         langs, table = [l for l, s in zip(langs, some) if s], table[np.append(some, True)]
     table += 0.5

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from queryscope.llm.common import documents, per_text, stored
+from queryscope.llm.common import documents, per_text, slices, stored
 
 DEPTH = 3
 MIN_DOCS = 10
@@ -172,7 +172,7 @@ def drop_lines(df: DataFrame, text: str = "text", id: str = "doc_id") -> DataFra
     out = df.select("*", F.lit(0).cast("long").alias("__lines"), F.lit(0).cast("long").alias("__dropped")).schema
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             texts = b.column(src).to_pylist()
             n, lost = [], []
             for i, gone in enumerate(b.column(bad_at).to_pylist()):
