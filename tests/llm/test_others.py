@@ -30,7 +30,7 @@ def top(vectors, k=5):
 @pytest.mark.parametrize("key", sorted(ORACLE))
 def test_queries_are_their_sql(spark, small, key):
     c = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "conversations"):
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{small}/{t}.parquet')")
     rows, want = QUERIES[key](spark, small), c.sql(ORACLE[key])
     assert sorted(rows.columns) == sorted(want.columns)
