@@ -11,17 +11,19 @@ where a string can occur twice.
    leftmost among equals), its anchor.  Anchors are dealt out by that gram;
    buckets of one anchor are dropped, as no string there repeats.
 2. *Refinement.*  Around each anchor left, the bytes of its strings go to
-   the bucket.  Positions get the bucket pointer of their first half (the
-   gram of length/2 bytes there); sorting pairs of pointers, own and
-   length/2 later, refines them to pointers of whole strings.  Pointers are
-   made once per position and reused by every string that crosses it;
-   positions whose bucket holds no other are left out of the next sort.
-   Equal surroundings are refined once, for their earliest place.
+   the bucket.  Positions are first put in buckets of ``WORD`` equal bytes;
+   sorting on the bucket pointers of a position and of a later offset gives
+   buckets of twice as many, whose pointers the next step takes, and so on up
+   to ``length`` (8, 16, 32, 64, 100 bytes).  Positions alone in their bucket
+   leave the next sort, together with every string that crosses them.  These
+   buckets compare bytes, not hashes.  Equal surroundings are refined once,
+   for their earliest place.
 3. *Frequent anchors* (more than ``HOT`` places, such as a line that a third
    of all documents have) are split: their strings are dealt out singly by
    whole-string hash, the earliest of each task only.
 
-Spans meet their texts by document id.  Buckets use 64-bit hashes.
+Spans meet their texts by document id.  Anchors and the strings of frequent
+ones use 64-bit hashes.
 
 Cases: null text counts as empty; shorter texts keep all bytes; rows that
 repeat an id are one document (its smallest text); rows without an id have
@@ -42,6 +44,7 @@ from queryscope.llm.words import mix, powers
 
 LENGTH = 100
 Q = 20
+WORD = 8              # bytes of the initial buckets of a refinement
 HOT = 256
 BUCKETS = 48          # at least; a bucket is sorted in one task
 HELD = 500_000       # anchors a task holds before it sends them
@@ -233,6 +236,45 @@ def strings_around(texts: DataFrame, anchors: DataFrame, buckets: int, length: i
     return joined.mapInArrow(emit, "bucket int, kind int, records binary, ids binary, counts binary, bytes binary")
 
 
+def firsts_of(key: np.ndarray, s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(s, least s of the same key) of the positions whose key another one has."""
+    order = np.argsort(key)
+    k = key[order]
+    start = np.flatnonzero(np.concatenate([np.ones(min(1, len(k)), dtype=bool), k[1:] != k[:-1]]))
+    many = np.diff(np.append(start, len(k)))
+    first = np.repeat(np.minimum.reduceat(s[order], start) if len(start) else start, many)
+    shared = np.repeat(many > 1, many)
+    return s[order][shared], first[shared]
+
+
+def refined(data: np.ndarray, base: np.ndarray, size: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(position, bucket pointer) of the ``length``-byte strings of the pieces of ``data`` that occur twice.
+
+    A bucket pointer is the first position of the bucket.  Buckets of the
+    first ``WORD`` bytes are the bytes themselves; a step sorts the positions
+    on (own pointer, pointer as far behind as the pointers reach), which
+    doubles the bytes that the new pointers stand for.  A position alone in
+    its bucket loses its pointer, and with it every string that crosses it.
+    """
+    width = min(WORD, length)
+    n = np.maximum(size - width + 1, 0)
+    s = np.arange(n.sum()) + np.repeat(base - (np.cumsum(n) - n), n)
+    gram = np.zeros(max(0, len(data) - width + 1), dtype=np.uint64)
+    for k in range(width):
+        gram |= data[k:k + len(gram)].astype(np.uint64) << np.uint64(8 * k)
+    s, first = firsts_of(gram[s], s)
+    pointer = np.full(len(data) + 1, -1, dtype=np.int64)
+    while width < length:
+        pointer[:] = -1
+        pointer[s] = first
+        step = min(width, length - width)
+        later = pointer[np.minimum(s + step, len(data))]  # no pointer reaches over the end of a piece
+        keep = (later >= 0) & (np.searchsorted(base, s, side="right") == np.searchsorted(base, s + step, side="right"))
+        s, first = firsts_of(first[keep] * (len(data) + 1) + later[keep], s[keep])
+        width += step
+    return s, first
+
+
 def starts_again(w: np.ndarray, d: np.ndarray, raw: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray]:
     """(doc, start) of the strings that start earlier too, among the anchors of a bucket."""
     order = np.lexsort((w["pos"], d))
@@ -253,29 +295,15 @@ def starts_again(w: np.ndarray, d: np.ndarray, raw: list[bytes], length: int) ->
         docs.append(np.repeat(d[i], many))
         starts.append(np.repeat(w["pos"][i].astype(np.int64) - w["back"][i], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many))
     i = np.array(firsts)
-    half = length // 2
     raws = [raw[k] for k in firsts]
     size = np.array([len(x) for x in raws], dtype=np.int64)
     base = np.cumsum(size) - size
-    data = np.frombuffer(b"".join(raws), dtype=np.uint8)
-    total = gram_sums(data)
-    many = size - half + 1
-    at = np.repeat(base, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-    pointer = np.zeros(len(data), dtype=np.int64)
-    _, inv, size_of = np.unique(grams(total, at, half), return_inverse=True, return_counts=True)
-    pointer[at] = np.where(size_of[inv] > 1, inv + 1, 0)  # 0: alone in its bucket
-    many = size - length + 1
-    s = np.repeat(base, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-    own = np.repeat(i, many)
-    start = w["pos"][own].astype(np.int64) - w["back"][own] + s - np.repeat(base, many)
-    keep = (pointer[s] > 0) & (pointer[s + length - half] > 0)
-    s, own, start = s[keep], own[keep], start[keep]
-    refined = pointer[s] * (len(data) + 1) + pointer[s + length - half]
-    order = np.lexsort((start, d[own], refined))
-    repeat = np.zeros(len(s), dtype=bool)
-    repeat[order[1:]] = refined[order[1:]] == refined[order[:-1]]
-    docs.append(d[own][repeat])
-    starts.append(start[repeat])
+    s, first = refined(np.frombuffer(b"".join(raws), dtype=np.uint8), base, size, length)
+    again = s != first
+    s = s[again]
+    own = np.searchsorted(base, s, side="right") - 1
+    docs.append(d[i[own]])
+    starts.append(w["pos"][i[own]].astype(np.int64) - w["back"][i[own]] + s - base[own])
     return np.concatenate(docs), np.concatenate(starts)
 
 

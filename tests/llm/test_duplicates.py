@@ -80,15 +80,38 @@ def test_op7(spark, request, monkeypatch, which, hot):
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows} == want
 
 
-def test_short_strings_overlaps_and_rows_without_an_id(spark):
+@pytest.mark.parametrize("length", [20, 24, 37, 150])
+def test_short_strings_overlaps_and_rows_without_an_id(spark, length):
     r = random.Random(9)
     docs = {i: "".join(r.choice("ab") for _ in range(r.randint(0, 300))) for i in range(30)}
     docs[30] = "a" * 500
     df = spark.createDataFrame([*docs.items(), (None, "a" * 300)], "doc_id long, text string")
-    got = {x.doc_id: (x.n_bytes, x.n_removed, x.n_spans) for x in byte_repeats.without_repeats(df, 24).select(
+    got = {x.doc_id: (x.n_bytes, x.n_removed, x.n_spans) for x in byte_repeats.without_repeats(df, length).select(
         "doc_id", "n_bytes", F.expr("aggregate(removed, 0L, (a, x) -> a + x.to - x.from)").alias("n_removed"), F.size("removed").alias("n_spans")).collect()}
     assert got.pop(None) == (300, 0, 0)
-    assert got == {d: v[:3] for d, v in brute.byte_repeats(docs, 24).items()}
+    assert got == {d: v[:3] for d, v in brute.byte_repeats(docs, length).items()}
+
+
+@pytest.mark.parametrize("length", [1, 7, 8, 9, 20, 37, 100, 130])
+def test_bucket_pointers_are_first_places_of_equal_strings(length):
+    r = random.Random(length)
+    pieces = [bytes(r.choice(b"ab") for _ in range(r.randint(0, 260))) for _ in range(20)]
+    pieces += [b"a" * 300, pieces[0], pieces[1][:150] + pieces[2], b"", bytes(range(256))]
+    r.shuffle(pieces)
+    size = np.array([len(x) for x in pieces], dtype=np.int64)
+    base = np.cumsum(size) - size
+    places = collections.defaultdict(list)
+    for at, x in zip(base.tolist(), pieces):
+        for i in range(len(x) - length + 1):
+            places[x[i:i + length]].append(at + i)
+    want = {(p, g[0]) for g in places.values() if len(g) > 1 for p in g}
+    s, first = byte_repeats.refined(np.frombuffer(b"".join(pieces), dtype=np.uint8), base, size, length)
+    assert len(s) == len(want) and set(zip(s.tolist(), first.tolist())) == want
+
+
+def test_nothing_to_refine():
+    none = np.zeros(0, dtype=np.int64)
+    assert [len(x) for x in byte_repeats.refined(np.zeros(0, np.uint8), none, none, 100)] == [0, 0]
 
 
 def test_compact_windows_are_the_wide_nodes_of_the_tree():
