@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from queryscope.llm.common import documents, ids_and_texts, per_text
+from queryscope.llm.common import buckets_for, documents, ids_and_texts, per_text
 from queryscope.llm.passages import compact_windows, runs_of, undealt
 from queryscope.llm.words import mix, powers
 
@@ -47,6 +47,7 @@ Q = 20
 WORD = 8              # bytes of the initial buckets of a refinement
 HOT = 256
 BUCKETS = 48          # at least; a bucket is sorted in one task
+BUCKET_BYTES = 16 << 20  # of the input's files, for a bucket
 HELD = 500_000       # anchors a task holds before it sends them
 HELD_BYTES = 8 << 20
 REFINED = 1 << 20    # bytes that a task refines at a time
@@ -91,10 +92,9 @@ def dealt(w: np.ndarray, ids: np.ndarray, buckets: int):
     bucket = (w["value"] % np.uint64(buckets)).astype(np.int32)
     order = np.argsort(bucket, kind="stable")
     cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
-    for i in range(buckets):
+    for i in np.flatnonzero(cut[1:] > cut[:-1]).tolist():
         part = order[cut[i]:cut[i + 1]]
-        if len(part):
-            yield i, part, w[part], *runs_of(ids[part])
+        yield i, part, w[part], *runs_of(ids[part])
 
 
 def repeated_anchors(docs: DataFrame, buckets: int, length: int) -> DataFrame:
@@ -365,8 +365,7 @@ def spans(strings: DataFrame, length: int) -> DataFrame:
 
 def without_repeats(df: DataFrame, length: int = LENGTH, text: str = "text") -> DataFrame:
     """doc_id, n_bytes, removed array<struct<from, to>> (maximal runs), kept binary."""
-    spark = df.sparkSession
-    buckets = max(BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    buckets = buckets_for(df, BUCKETS, BUCKET_BYTES, 1 << 20)
     docs = ids_and_texts(df, text)
     texts = docs.where("doc_id is not null").groupBy("doc_id").agg(F.min("text").alias("text"))
     found = spans(strings_around(texts, repeated_anchors(docs, buckets, length), buckets, length), length)
