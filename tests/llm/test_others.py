@@ -72,6 +72,55 @@ def test_elimination_spares_candidates():
     assert sum(seen) < 1000
 
 
+def test_a_threshold_spares_candidates_and_hides_what_is_below(monkeypatch):
+    r = np.random.default_rng(3)
+    x = np.floor(256 * np.repeat(r.normal(size=(20, 8)), 50, axis=0) + r.normal(size=(1000, 8)))
+    m2 = float((x * x).sum(1).max())
+    pivots, table = pivot_topk.pivot_table(x, m2)
+    seen = []
+    plain = pivot_topk.products
+    monkeypatch.setattr(pivot_topk, "products", lambda a, q: seen.append(len(a)) or plain(a, q))
+    s = np.sort(x @ x[0])[::-1]
+    for least in (float(s[2]), float(s[0]) + 1, -np.inf):
+        best = pivot_topk.search(np.arange(1000), x, m2, pivots, table, -1, x[0], 5, least)
+        assert [a for a, _ in best] == [v for v in s[:5] if v >= least]
+    assert seen[0] <= 128
+
+
+@pytest.mark.parametrize("scale", [1.0, 1e9, 1e150])
+def test_topk_of_groups_beyond_a_block(spark, monkeypatch, scale):
+    """Many blocks a cell, cells without a query, a third of all vectors equal; sums exact in a double or not."""
+    monkeypatch.setattr(pivot_topk, "BLOCK", 8)
+    monkeypatch.setattr(pivot_topk, "QUERY_BLOCK", 2)
+    monkeypatch.setattr(pivot_topk, "PIVOTS", 6)
+    r = np.random.default_rng(5)
+    centres = r.normal(size=(6, 5))
+    vectors = {i: (scale * (centres[0] if i % 3 == 0 else centres[i % 5 + 1] + 0.01 * r.normal(size=5))).tolist() for i in range(400)}
+    df = spark.createDataFrame([*vectors.items()], "vec_id long, embedding array<double>")
+    got = {(x.query_id, x.rank, x.vec_id, x.score) for x in pivot_topk.top_k(df).collect()}
+    assert got == top(vectors)
+
+
+def test_blocks_without_a_chance_are_left_out(spark, monkeypatch):
+    monkeypatch.setattr(pivot_topk, "BLOCK", 64)
+    r = np.random.default_rng(6)
+    centres = r.normal(size=(16, 8))
+    centres /= np.linalg.norm(centres, axis=1)[:, None]
+    vectors = {i: (centres[i % 16] + 0.002 * r.normal(size=8)).tolist() for i in range(3200)}
+    seen = {}
+    plain = pivot_topk.stored
+    monkeypatch.setattr(pivot_topk, "stored", lambda df, name: seen.setdefault(name, plain(df, name)))
+    left = []
+    where = type(spark.range(1)).where
+    monkeypatch.setattr(type(spark.range(1)), "where", lambda self, c: left.append(where(self, c)) or left[-1])
+    df = spark.createDataFrame([*vectors.items()], "vec_id long, embedding array<double>")
+    got = {(x.query_id, x.rank, x.vec_id, x.score) for x in pivot_topk.top_k(df).collect()}
+    assert got == top(vectors)
+    pairs = next(f for f in left if "least_of_all" in f.columns)
+    every = seen["topk-queries"].count() * seen["topk-candidates"].count()
+    assert pairs.count() <= every / 4
+
+
 @pytest.mark.parametrize("which", ["small", "awkward", "empty"])
 def test_op6(spark, request, which):
     sf = request.getfixturevalue(which)
