@@ -24,6 +24,7 @@ from queryscope.functions.exprs import (
     region_of,
     search_type_of,
 )
+from queryscope.operators import quality
 from queryscope.plans.joins import range_left_join
 
 # Columns of the flattened view and of the deduplication (13 each).
@@ -161,8 +162,11 @@ def sync_fact_table(spark: SparkSession, name: str = "search_events_fact") -> No
 
 
 def incremental_load(categorized: DataFrame, path: str, as_of: _dt.date,
-                     max_records_per_file: int = 5_000_000) -> None:
-    """Write one ``data_date`` partition, replacing only that partition.
+                     max_records_per_file: int = 5_000_000) -> dict[str, int | None]:
+    """Write one ``data_date`` partition, replacing only that partition; the counts of D2 and D3.
+
+    The counts (``n`` rows and ``quality.null_counts``) are observed while
+    the rows are written, so these checks read nothing back.
 
     Dynamic partition overwrite makes a rerun idempotent (the reference
     appends, so a rerun doubles the day).  The day is written straight from
@@ -172,13 +176,15 @@ def incremental_load(categorized: DataFrame, path: str, as_of: _dt.date,
     a day that turned out empty has its old partition removed afterwards.
     """
     seen = Observation(f"loaded-{uuid.uuid4().hex[:8]}")
-    fact = to_fact(categorized, as_of).observe(seen, F.count(F.lit(1)).alias("n"))
+    fact = to_fact(categorized, as_of).observe(seen, F.count(F.lit(1)).alias("n"), *quality.null_counts())
     (fact.write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic")
          .option("maxRecordsPerFile", max_records_per_file)
          .partitionBy("data_date").parquet(path))
-    if seen.get["n"] == 0:
+    counts = seen.get
+    if counts["n"] == 0:
         remove_partitions(categorized.sparkSession, path, [_day(as_of)])
+    return counts
 
 
 def remove_partitions(spark: SparkSession, path: str, days: list[_dt.date]) -> None:

@@ -7,7 +7,7 @@ single value), never through the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from queryscope.functions import vocab as V
@@ -40,26 +40,40 @@ def dq_record_count(fact: DataFrame, source: DataFrame | int,
         src = F.lit(source).cast("bigint")
     else:
         src = source.select(F.count(F.lit(1))).scalar()
-    n = F.count(F.lit(1))
-    return fact.agg(
+    return record_check(fact.agg(F.count(F.lit(1)).alias("n")), src, tolerance)
+
+
+def record_check(counts: DataFrame, source: F.Column, tolerance: int = V.RECORD_COUNT_TOLERANCE) -> DataFrame:
+    """D2 from a row that holds the number of curated rows (``n``)."""
+    return counts.select(
         F.lit("Record Count Check").alias("check_name"),
-        n.alias("curated_records"),
-        src.alias("source_records"),
-        _status(F.abs(n - src) < tolerance).alias("status"),
+        F.col("n").alias("curated_records"),
+        source.alias("source_records"),
+        _status(F.abs(F.col("n") - source) < tolerance).alias("status"),
     )
 
 
+def null_counts() -> list[F.Column]:
+    """Aggregates of D3: rows without a user, without a date, without either."""
+    user, date = F.col("user_pseudo_id").isNull(), F.col("event_date").isNull()
+    return [F.sum(F.when(missing, 1).otherwise(0)).alias(name)
+            for name, missing in (("null_users", user), ("null_dates", date), ("null_rows", user | date))]
+
+
 def dq_nulls(fact: DataFrame) -> DataFrame:
     """D3: NULL users / dates; an empty input sums to NULL and reports FAIL."""
-    nu = F.sum(F.when(F.col("user_pseudo_id").isNull(), 1).otherwise(0))
-    nd = F.sum(F.when(F.col("event_date").isNull(), 1).otherwise(0))
-    both = F.sum(F.when(F.col("user_pseudo_id").isNull() | F.col("event_date").isNull(), 1).otherwise(0))
-    return fact.agg(
-        F.lit("NULL Check").alias("check_name"),
-        nu.alias("null_users"),
-        nd.alias("null_dates"),
-        _status(both == 0).alias("status"),
-    )
+    return null_check(fact.agg(*null_counts()))
+
+
+def null_check(counts: DataFrame) -> DataFrame:
+    """D3 from a row of ``null_counts``."""
+    return counts.select(F.lit("NULL Check").alias("check_name"), "null_users", "null_dates",
+                         _status(F.col("null_rows") == 0).alias("status"))
+
+
+def as_row(spark: SparkSession, counts: dict[str, int | None]) -> DataFrame:
+    """Counts that a load job observed, as a row."""
+    return spark.range(1).select(*[F.lit(v).cast("bigint").alias(k) for k, v in counts.items()])
 
 
 def imputation_summary(groups: DataFrame) -> DataFrame:

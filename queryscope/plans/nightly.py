@@ -46,17 +46,18 @@ def run_nightly(spark: SparkSession, raw: DataFrame, orders: DataFrame, fact_pat
     """
     out_dir = out_dir or shared_path(spark, "nightly")
     shard = etl.scan_daily_shard(raw, as_of)
-    # The source row count for the record-count check is observed while the
-    # load job runs, instead of re-scanning the shard afterwards.
+    # The counts of the record-count and NULL checks are observed while the
+    # load job runs; only the duplicate check reads the written day (two columns).
     seen = Observation("source_rows")
     flat = etl.flatten_event_params(shard).observe(seen, F.count(F.lit(1)).alias("n"))
     categorized = etl.categorize_events(etl.dedupe_events(flat), as_of, processed_at)
     if table_name:
         etl.create_fact_table(spark, fact_path, table_name)
-    etl.incremental_load(categorized, fact_path, as_of)
+    loaded = etl.incremental_load(categorized, fact_path, as_of)
     if table_name:
         etl.sync_fact_table(spark, table_name)
-    source_rows = seen.get["n"]
+    # An empty load may have been planned without its source, and nothing was observed there.
+    source_rows = seen.get["n"] if loaded["n"] else etl.flatten_event_params(shard).count()
     day = as_of - _dt.timedelta(days=1)
     first = day - _dt.timedelta(days=attribution_days - 1)
     recent = etl.read_fact(spark, fact_path).filter(F.col("data_date").between(first, day))
@@ -66,11 +67,12 @@ def run_nightly(spark: SparkSession, raw: DataFrame, orders: DataFrame, fact_pat
     metrics_path = f"{out_dir.rstrip('/')}/search_metrics_daily"
     write_table(etl.search_metrics_from_orders(recent, orders, day), metrics_path)
     fact_day = etl.read_fact(spark, fact_path, day)
+    counts = quality.as_row(spark, loaded)
     return {
         "fact": fact_day,
         "attribution": attribution,
         "metrics_daily": spark.read.parquet(metrics_path),
         "dq_duplicates": quality.dq_duplicates(fact_day),
-        "dq_record_count": quality.dq_record_count(fact_day, source_rows),
-        "dq_nulls": quality.dq_nulls(fact_day),
+        "dq_record_count": quality.record_check(counts, F.lit(source_rows).cast("bigint")),
+        "dq_nulls": quality.null_check(counts),
     }

@@ -6,7 +6,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from conftest import SF001
-from queryscope.operators import etl
+from queryscope.operators import etl, quality
 from queryscope.plans import nightly
 from queryscope.sources import fixtures as fx
 
@@ -30,6 +30,12 @@ def test_run_nightly(spark, tmp_path):
     rc = out["dq_record_count"].collect()[0]
     src = etl.flatten_event_params(etl.scan_daily_shard(raw, AS_OF)).count()
     assert (rc.curated_records, rc.source_records, rc.status) == (out["fact"].count(), src, "PASS")
+    # the two checks from the load job's counts equal those over the written day, and read no file
+    for name, want in (("dq_record_count", quality.dq_record_count(out["fact"], src)), ("dq_nulls", quality.dq_nulls(out["fact"]))):
+        assert out[name].collect() == want.collect() and out[name].dtypes == want.dtypes
+        assert "FileScan" not in out[name]._jdf.queryExecution().executedPlan().toString()
+    plan = out["dq_duplicates"]._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<event_timestamp:bigint,user_pseudo_id:string>" in plan
     metrics = out["metrics_daily"]
     assert metrics.select("event_date").distinct().collect()[0][0] == day
     assert metrics.agg(F.sum("total_searches")).collect()[0][0] == out["attribution"].count()
@@ -51,3 +57,11 @@ def test_attribution_reads_only_its_fact_partitions(spark, tmp_path):
     plan = a._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(data_date" in plan and "data_date#" in plan
     assert a.select("event_date").distinct().collect()[0][0] == day
+
+
+def test_a_night_without_rows_fails_its_null_check(spark, tmp_path):
+    raw = fx.raw_ga4_events(spark, SF001)
+    out = nightly.run_nightly(spark, raw, fx.orders(spark, SF001), str(tmp_path / "fact"), dt.date(1999, 1, 2), STAMP)
+    assert out["dq_nulls"].collect() == quality.dq_nulls(out["fact"]).collect()
+    assert [r.status for r in out["dq_nulls"].collect()] == ["FAIL"]
+    assert tuple(out["dq_record_count"].collect()[0])[1:3] == (0, 0)
