@@ -11,8 +11,9 @@ it is, digits included, so rows of numbers are dropped only where they recur.
 A template that occurs in ``MIN_DOCS`` different texts or more is boilerplate
 and its lines are dropped.  Equal texts count once, and so do the lines of one
 text.  A document that would lose more than ``MOST`` of its characters is left
-whole: such documents are taken for copies of each other, which
-document-level deduplication deals with, not for carriers of boilerplate.
+whole: two texts that share more than 6/7 of their characters are near
+duplicates at 0.75 (s / (2 - s) is more than 3/4), which document-level
+deduplication deals with, and not carriers of boilerplate.
 
 Plan.  One pass counts the leaves.  Frequent leaves are marked in a bitmap
 of sixteen bits a leaf (a superset is harmless, as counts are exact later
@@ -44,7 +45,7 @@ from queryscope.llm.common import documents, per_text, slices, stored
 DEPTH = 3
 MIN_DOCS = 10
 CONSTANT = 0.7
-MOST = 0.5
+MOST = 6, 7  # as a fraction
 #: The bitmap has 2**MOST_BITS bits at most.
 MOST_BITS = 28
 
@@ -182,7 +183,7 @@ def drop_lines(df: DataFrame, text: str = "text", id: str = "doc_id") -> DataFra
                 if gone:
                     gone = set(gone)
                     kept = [x for x in rows if not (k := x.split()) or line_hash(k) not in gone]
-                    if sum(map(len, rows)) - sum(map(len, kept)) > MOST * sum(map(len, rows)):
+                    if MOST[1] * (sum(map(len, rows)) - sum(map(len, kept))) > MOST[0] * sum(map(len, rows)):
                         kept = rows
                     texts[i] = "\n".join(kept)
                 lost.append(len(rows) - len(kept))
@@ -220,7 +221,7 @@ e AS (SELECT m.rid, any_value(m.doc_id) AS doc_id, any_value(m.text) AS text, co
     coalesce(array_to_string(list(line ORDER BY pos) FILTER (WHERE bad.k IS NULL), chr(10)), '') AS kept
   FROM m LEFT JOIN bad ON bad.k = m.k GROUP BY m.rid)
 SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines,
-  CASE WHEN size - kept_size > {MOST} * size THEN 0 ELSE coalesce(lost, 0) END AS n_dropped,
-  sha256(CASE WHEN e.rid IS NULL OR size - kept_size > {MOST} * size THEN d.text ELSE kept END) AS kept_sha256
+  CASE WHEN {MOST[1]} * (size - kept_size) > {MOST[0]} * size THEN 0 ELSE coalesce(lost, 0) END AS n_dropped,
+  sha256(CASE WHEN e.rid IS NULL OR {MOST[1]} * (size - kept_size) > {MOST[0]} * size THEN d.text ELSE kept END) AS kept_sha256
 FROM d LEFT JOIN e ON e.rid = d.rid
 """

@@ -71,7 +71,7 @@ def byte_repeats(docs, length=100):
     return out
 
 
-def line_templates(rows, min_docs=10, depth=3, constant=0.7, most=0.5):
+def line_templates(rows, min_docs=10, depth=3, constant=0.7, most=(6, 7)):
     """rows: (doc_id, text).  Written from the rule: every count is of different texts."""
     def parse(line):
         """(tokens, number of tokens and leading ones, which tokens may be constant, the line's own name)"""
@@ -100,7 +100,7 @@ def line_templates(rows, min_docs=10, depth=3, constant=0.7, most=0.5):
     for d, t in rows:
         all_ = t.split("\n") if t else []
         kept = [x for x in all_ if not x.split() or len(template_texts[template[parse(x)[2]]]) < min_docs]
-        if sum(map(len, all_)) - sum(map(len, kept)) > most * sum(map(len, all_)):
+        if most[1] * (sum(map(len, all_)) - sum(map(len, kept))) > most[0] * sum(map(len, all_)):
             kept = all_
         out.append((d, len(all_), len(all_) - len(kept), hashlib.sha256("\n".join(kept).encode()).hexdigest()))
     return sorted(out)
