@@ -319,6 +319,47 @@ def test_ten_texts_with_one_line_each_are_enough(spark):
     assert not any(n for *_, n in lines_left(spark, texts[:9] * 3))
 
 
+def test_pages_that_are_mostly_boilerplate_lose_it(spark):
+    """Up to 6/7 of the characters are boilerplate; pages with more are near duplicates of each other and stay whole."""
+    menu = "\n".join(words(6, 900 + k) for k in range(12))
+    for share, gone in ((0.55, 12), (0.84, 12), (0.88, 0)):
+        pages = []
+        for i in range(12):
+            own = round(len(menu.replace("\n", "")) * (1 - share) / share)
+            pages.append(menu + "\n" + words(own, 1000 + i)[:own].strip())
+        assert {n for *_, n in lines_left(spark, pages)} == {gone}
+
+
+def test_one_of_each_group_stays_and_no_text_of_a_repeated_id_is_lost(spark):
+    r, rows = random.Random(5), []
+    texts = [words(60, 300 + k) for k in range(8)]
+    for _ in range(120):
+        d = r.choice([None, *range(12)])
+        t = r.choice([None, "", " ", *texts, *[t + " end" for t in texts]])
+        rows.append((d, t, r.choice([None, 1, 2]), {"a": 1}, [r.choice("xy")], "k", "c"))
+    schema = "doc_id int, text string, n int, size map<string,int>, at array<string>, key string, component string"
+    df = spark.createDataFrame(rows, schema).repartition(5)
+    out = jaccard_join.one_of_each(df)
+    assert out.columns == df.columns and out.dtypes == df.dtypes
+    got = out.select("doc_id", "text", "n", "at").collect()
+    assert sum(x.doc_id is None for x in got) == sum(x[0] is None for x in rows)
+    group = {t: k for k, t in enumerate(texts)} | {t + " end": k for k, t in enumerate(texts)}
+    least, empty = {}, set()
+    for d, t, *_ in rows:
+        if d is not None and t in group:
+            least[group[t]] = min(d, least.get(group[t], d))
+        elif d is not None:
+            empty.add(d)
+    have = collections.Counter((x.doc_id, group.get(x.text)) for x in got if x.doc_id is not None)
+    assert have == collections.Counter([(d, k) for k, d in least.items()] + [(d, None) for d in empty])
+    for x in got:  # of equal rows the least
+        if x.doc_id is not None:
+            same = [(y[1] is None, y[2] is not None, y[2] or 0, y[4]) for y in rows if y[0] == x.doc_id and (y[1] or "") == (x.text or "")]
+            assert (x.text is None, x.n is not None, x.n or 0, x.at) == min(same)
+    nothing = jaccard_join.one_of_each(df.where("false"))
+    assert nothing.count() == 0
+
+
 @pytest.mark.parametrize("copies,size", [(200, 300), (600, 120)])
 def test_groups_on_both_sides_of_the_threshold(spark, copies, size):
     """Near copies with so many edits that their likeness to each other lies around 0.75, against all pairs."""
