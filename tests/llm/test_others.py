@@ -315,3 +315,12 @@ def test_run_is_the_stages(spark, small):
     rows = corpus_pipeline.run(spark, small).collect()
     per = collections.Counter(r.doc_id for r in rows)
     assert rows and all(n > 0 for n in per.values())
+
+
+def test_shuffle_files_go_when_a_table_is_written(spark):
+    from queryscope.llm.common import stored
+    manager = spark._jsc.sc().env().blockManager().diskBlockManager()
+    before = {b for b in manager.getAllBlocks().mkString("\n").split("\n") if b.startswith("shuffle")}
+    kept = stored(spark.range(1000).selectExpr("id % 100 AS k").groupBy("k").count(), "shuffled")
+    after = {b for b in manager.getAllBlocks().mkString("\n").split("\n") if b.startswith("shuffle")}
+    assert kept.count() == 100 and not after - before
