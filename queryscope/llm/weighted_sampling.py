@@ -14,7 +14,8 @@ similarity of their bags, so the share of equal samples estimates it
 A sample is held in one long, ln a in fixed point above 32 bits of a hash
 of (k, t), so that the smallest long is the sample and a fingerprint is a
 plain minimum per sample; the hash is what a fingerprint keeps.  Word counts come from sorted hashes within a
-row; the words of a text never leave its partition.
+row; the words of a text never leave its partition.  A word of both texts of
+a document draws once for both: only t and a depend on its count.
 
 The edited text of a document has its last third replaced by the head of
 the document before it in ascending id order (the next one, descending).
@@ -59,31 +60,65 @@ def bag(text: Column) -> Column:
     return let(hashes, counted)
 
 
+def bags(own: Column, edited: Column) -> Column:
+    """array<struct<w, own, edited>>: the words of either text and their counts in both; null where a text has none."""
+    def of(text, side):
+        return F.transform(bag(text), lambda x: F.struct(x["w"].alias("w"), F.lit(side).alias("side"), x["tf"].alias("tf")))
+
+    def merged(m):
+        first = F.filter(F.sequence(F.lit(0), F.size(m) - 1), lambda i: (i == 0) | (F.get(m, i)["w"] != F.get(m, i - 1)["w"]))
+        return F.transform(first, lambda i: F.struct(
+            F.get(m, i)["w"].alias("w"),
+            F.when(F.get(m, i)["side"] == 0, F.get(m, i)["tf"]).alias("own"),
+            F.when(F.get(m, i)["side"] == 1, F.get(m, i)["tf"])
+            .when(F.get(m, i + 1)["w"] == F.get(m, i)["w"], F.get(m, i + 1)["tf"]).alias("edited")))
+
+    return let(F.sort_array(F.concat(of(own, 0), of(edited, 1))), merged)
+
+
 def uniform(h: Column, shift: int, bits: int) -> Column:
     """``bits`` bits of a hash as a number strictly between 0 and 1."""
     return (F.shiftrightunsigned(h, shift).bitwiseAND(F.lit((1 << bits) - 1).cast("long")) + F.lit(0.5)) / float(1 << bits)
 
 
-def sample(w: Column, ln_weight: Column, i: int) -> Column:
-    """The long of word ``w`` in sample ``i``."""
-    h, g = F.xxhash64(w, F.lit(2 * i)), F.xxhash64(w, F.lit(2 * i + 1))
-    r = -F.log(uniform(h, 0, 24) * uniform(h, 24, 24))
-    b = uniform(h, 48, 16)
-    ln_c = F.log(-F.log(uniform(g, 0, 20) * uniform(g, 20, 20)))
-    t = F.floor(ln_weight / r + b)
-    ln_a = ln_c - r * (t - b + 1)
+def drawn(df: DataFrame, w: str, samples: int) -> DataFrame:
+    """A row for each row and sample: ``df``'s columns, the sample's number, r, b, ln c and the hash g that names it.
+
+    Columns of their own, as an expression that is used twice is computed twice.
+    """
+    h, g = F.col("__h"), F.col("__g")
+    return (df.select("*", F.explode(F.sequence(F.lit(0), F.lit(samples - 1))).alias("__i"))
+            .select("*", F.xxhash64(w, 2 * F.col("__i")).alias("__h"), F.xxhash64(w, 2 * F.col("__i") + 1).alias("__g"))
+            .select("*", (-F.log(uniform(h, 0, 24) * uniform(h, 24, 24))).alias("__r"), uniform(h, 48, 16).alias("__b"),
+                    F.log(-F.log(uniform(g, 0, 20) * uniform(g, 20, 20))).alias("__ln_c")))
+
+
+def sample(t: Column) -> Column:
+    """The long of a row of ``drawn`` whose t is known."""
+    ln_a = F.col("__ln_c") - F.col("__r") * (t - F.col("__b") + 1)
     fixed = F.floor((ln_a + 160) * float(1 << 22)).cast("long")  # -160 < ln a < 32 for weights below e^64
-    name = g.bitwiseXOR(F.xxhash64(t)).bitwiseAND(F.lit(LOW).cast("long"))
+    name = F.col("__g").bitwiseXOR(F.xxhash64(t)).bitwiseAND(F.lit(LOW).cast("long"))
     return F.shiftleft(fixed, 32).bitwiseOR(name)
 
 
-def fingerprints(df: DataFrame, keys: list[str], w: str = "w", weight: str = "weight", samples: int = SAMPLES,
-                 also: list[Column] | None = None) -> DataFrame:
-    """keys, samples array<int>, over (keys, word hash, positive weight) rows; ``also``: further aggregates."""
-    mins = [F.min(sample(F.col(w), F.col("ln_weight"), i)).alias(f"s{i}") for i in range(samples)]
-    done = df.withColumn("ln_weight", F.log(weight)).groupBy(*keys).agg(*mins, *(also or []))
-    name = [F.shiftright(F.shiftleft(f"s{i}", 32), 32).cast("int") for i in range(samples)]
-    return done.withColumn("samples", F.array(*name)).drop(*[f"s{i}" for i in range(samples)])
+def fingerprints(df: DataFrame, keys: list[str], w: str = "w", weight: str | dict[str, str] = "weight", samples: int = SAMPLES,
+                 kept: list[str] | None = None) -> DataFrame:
+    """keys, ``kept``, samples array<int>, over (keys, word hash, positive weight) rows; ``kept``: columns that depend on the keys.
+
+    ``weight`` may be a dictionary from weight columns to names of their
+    fingerprints: what a word draws is then drawn once for all of them.  A
+    word whose weight is null takes no part.
+    """
+    out = weight if isinstance(weight, dict) else {weight: "samples"}
+    rows = drawn(df.select(*keys, *(kept or []), w, *[F.log(x).alias(f"__ln_{name}") for x, name in out.items()]), w, samples)
+    rows = rows.select("*", *[F.floor(F.col(f"__ln_{name}") / F.col("__r") + F.col("__b")).alias(f"__t_{name}") for name in out.values()])
+    least = rows.groupBy(*keys, "__i").agg(*[F.min(sample(F.col(f"__t_{name}"))).alias(name) for name in out.values()],
+                                           *[F.max(c).alias(c) for c in kept or []])
+
+    def in_order(name):
+        return F.transform(F.sort_array(F.collect_list(F.struct("__i", name))), lambda x: F.shiftright(F.shiftleft(x[name], 32), 32).cast("int"))
+
+    return least.groupBy(*keys).agg(*[F.max(c).alias(c) for c in kept or []], *[in_order(name).alias(name) for name in out.values()])
 
 
 def likeness(a: str, b: str, samples: int = SAMPLES) -> Column:
@@ -126,17 +161,13 @@ def op6(spark, sf_dir: str) -> DataFrame:
     order = stored(before(docs.select("doc_id").distinct()), "fingerprint-order")
     both = edited(docs.groupBy("doc_id").agg(F.min("text").alias("text")), order)
     about = ["next_id", "n_chars", "d0", "d1", "d2", "d3"]
-    sides = (both.withColumn("n_chars", F.char_length("text").cast("long")).withColumn("sha", F.sha2("edited", 256))
-             .select("doc_id", "next_id", "n_chars", *digits(F.col("sha")),
-                     F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("text").alias("t")),
-                                       F.struct(F.lit(1).alias("side"), F.col("edited").alias("t")))).alias("e")))
-    terms = sides.select("doc_id", *about, "e.side", F.explode(bag(F.col("e.t"))).alias("x")).select(
-        "doc_id", *about, "side", "x.w", F.col("x.tf").cast("double").alias("weight"))
-    prints = fingerprints(terms, ["doc_id", "side"], also=[F.max(c).alias(c) for c in about])
-    # both sides of a document are in one partition
-    rows = stored(prints.groupBy("doc_id").agg(
-        *[F.max(c).alias(c) for c in about], F.max(F.when(F.col("side") == 0, F.col("samples"))).alias("own"),
-        F.max(F.when(F.col("side") == 1, F.col("samples"))).alias("edit")), "fingerprints")
+    # a document's own columns lie below the explode, so they are computed once a document
+    whole = (both.withColumn("n_chars", F.char_length("text").cast("long")).withColumn("sha", F.sha2("edited", 256))
+             .select("doc_id", "next_id", "n_chars", *digits(F.col("sha")), "text", "edited"))
+    words = whole.select("doc_id", *about, F.explode(bags(F.col("text"), F.col("edited"))).alias("x"))
+    # both texts of a document share most of their words
+    terms = words.select("doc_id", *about, "x.w", F.col("x.own").cast("double").alias("tf"), F.col("x.edited").cast("double").alias("edited_tf"))
+    rows = stored(fingerprints(terms, ["doc_id"], weight={"tf": "own", "edited_tf": "edit"}, kept=about), "fingerprints")
     following = rows.select(F.col("doc_id").alias("next_id"), F.col("own").alias("following"))
     sha = F.lower(F.concat(*[F.lpad(F.hex(f"d{i}"), 16, "0") for i in range(4)]))
     return (rows.join(following, "next_id")

@@ -8,6 +8,7 @@ import sys
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import brute
 import corpus_pipeline
@@ -152,6 +153,20 @@ def test_samples_estimate_the_generalised_jaccard(spark):
     assert abs(np.mean([a == b for a, b in zip(got[0], got[1])]) - want) < 0.2
 
 
+def test_two_weights_of_a_word_are_drawn_once_and_give_their_own_samples(spark):
+    """Fingerprints of both texts in one pass are those of each text on its own, whatever words they share."""
+    texts = [(0, "a b b c d", "a b c c e"), (1, "x y", "z z z"), (2, "", "a"), (3, "q r s", "q r s")]
+    df = spark.createDataFrame(texts, "d int, own string, edited string")
+    words = df.select("d", F.explode(weighted_sampling.bags(F.col("own"), F.col("edited"))).alias("x")).selectExpr(
+        "d", "x.w", "cast(x.own as double) as tf", "cast(x.edited as double) as edited_tf")
+    assert words.count() == 5 + 3 + 2 + 3
+    got = {r.d: (r.a, r.b) for r in weighted_sampling.fingerprints(words, ["d"], weight={"tf": "a", "edited_tf": "b"}).collect()}
+    for side, col in enumerate(("own", "edited")):
+        alone = df.select("d", F.explode(weighted_sampling.bag(F.col(col))).alias("x")).selectExpr("d", "x.w", "cast(x.tf as double) as weight")
+        assert {r.d: r.samples for r in weighted_sampling.fingerprints(alone, ["d"]).collect()} == {d: g[side] for d, g in got.items()}
+    assert got[3][0] == got[3][1] and all(len(x) == weighted_sampling.SAMPLES for g in got.values() for x in g)
+
+
 @pytest.mark.parametrize("which", ["small", "awkward", "empty"])
 def test_op3(spark, request, which):
     sf = request.getfixturevalue(which)
