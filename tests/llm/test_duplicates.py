@@ -292,6 +292,84 @@ def test_near_duplicates_behind_a_shorter_common_text_are_found(spark):
     assert set(found) <= set(want)
 
 
+@pytest.mark.parametrize("copies", [1, 12])
+def test_near_duplicates_behind_many_shorter_texts_that_overlap_are_found(spark, copies):
+    """Earlier documents have 38 of 64 words each, from every fifth on: no one is a source, and each shingle's first ones are theirs."""
+    docs, want = {}, []
+    for g in range(8):
+        passage = words(64, 7000 + g).split()
+        for k in range(6):
+            for i in range(copies):
+                d = 1000 * g + 20 * k + i
+                docs[d] = words(40, 10**6 + d) + " " + " ".join(passage[5 * k:5 * k + 38]) + " " + words(40, 2 * 10**6 + d)
+        docs[1000 * g + 500] = words(60, 3 * 10**6 + g) + " " + " ".join(passage) + " " + words(60, 4 * 10**6 + g)
+        passage[(12, 32, 51)[g % 3]] = "changed"
+        docs[1000 * g + 600] = words(30, 5 * 10**6 + g) + " " + " ".join(passage) + " " + words(30, 6 * 10**6 + g)
+        want.append((1000 * g + 600, 1000 * g + 500))
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(5)
+    rows = [x for x in passages.repeated_passages(df).collect() if (x.doc_id, x.source_id) in want]
+    covered = collections.defaultdict(set)
+    for x in rows:
+        assert x.similarity >= 0.75
+        covered[x.doc_id, x.source_id].update(range(x.start, x.end))
+    assert all(len(covered[w] & set(range(30, 94))) >= 60 for w in want)
+
+
+@pytest.mark.parametrize("vocabulary", [60, 400])
+def test_open_windows_meet_all_that_share_enough_with_an_open_run(vocabulary):
+    """Against all pairs: windows of three groups, made of pieces of some texts, with repeated shingles or hardly any."""
+    r, t = random.Random(vocabulary), 46
+    texts = [[r.randrange(vocabulary) for _ in range(120)] for _ in range(4)]
+    n = 150
+    size = np.array([r.randrange(t, 2 * t) for _ in range(n)])
+    s = np.zeros((n, 2 * t - 1), dtype=np.uint32)
+    for i in range(n):
+        text, at = r.choice(texts), r.randrange(30)
+        s[i, :size[i]] = [x if r.random() < 0.9 else r.randrange(10**6) for x in text[at:at + size[i]]]
+    open_ = np.array([[r.random() < 0.2 and k < size[i] for k in range(2 * t - 1)] for i in range(n)])
+    open_[::5] = False
+    group, d = np.array([i % 3 for i in range(n)]), np.array([r.randrange(60) for _ in range(n)])
+    source = np.array([i % 4 > 0 for i in range(n)])
+    got = {(x, a): np.flatnonzero(c).tolist() for x, a, c, *_ in zip(*passages.sharing(group, d, size, s, open_, source, t))}
+    need = collections.defaultdict(set)
+    for x in range(n):
+        for a in range(n):
+            if group[a] == group[x] and d[a] < d[x] and source[a]:
+                theirs, mine = set(s[a, :size[a]].tolist()), s[x, :size[x]].tolist()
+                runs = [k for k in range(size[x] - t + 1) if any(y in theirs and o for y, o in zip(mine[k:k + t], open_[x, k:k + t]))
+                        and len(set(mine[k:k + t]) & theirs) >= 0.75 * len(set(mine[k:k + t]))]
+                ends = [k for k, y in enumerate(mine) if y in theirs or k in (0, size[x] - 1)]
+                if any(len(set(mine[k:k + t])) < t for k in range(size[x] - t + 1)):
+                    stretches = [(k, k + t) for k in runs]
+                else:
+                    told = [s[a, :size[a]].tolist().index(y) for y in mine if y in theirs]
+                    told = told == sorted(told) and all(s[a, :size[a]].tolist().count(y) < 2 for y in mine)
+                    stretches = []
+                    for p, q in ((p, q) for p in ends for q in ends if q - p + 1 >= t):
+                        at = [s[a, :size[a]].tolist().index(y) for y in mine[p:q + 1] if y in theirs]
+                        if len(at) >= 0.75 * (q - p + 1 + (at[-1] - at[0] + 1 if told else len(at)) - len(at)):
+                            stretches.append((p, q + 1))
+                if runs:
+                    need[x, a] = {k for p, q in stretches for k in range(p, q) if mine[k] in theirs and open_[x, k]}
+    assert len(need) > 50 and got == {k: sorted(v) for k, v in need.items() if v}
+    one = np.ones((2, 2 * t - 1), dtype=np.uint32)  # fewer shingles than places
+    x, a, claim, *_ = passages.sharing(np.zeros(2, int), np.arange(2), np.array([50, 46]), one, one == 1, np.array([True, True]), t)
+    assert (x.tolist(), a.tolist(), claim.sum()) == ([1], [0], 46)
+    assert passages.bare(np.array([[2, 5], [4, 7], [7, 8], [9, 10]]), 11).nonzero()[0].tolist() == [0, 1, 8, 10]
+
+
+def test_sources_are_tried_in_turns_until_their_places_are_in_a_passage(spark):
+    ws = [(4, 0, 99, 0, 99)]
+    pairs = spark.createDataFrame([(9, 0, a, 0, ws, places) for a, places in ((1, [60, 61]), (2, [3]), (3, [60, 70]), (4, [70]), (5, [61]), (6, [3, 5]))],
+                                  "x long, xt long, a long, at long, ws array<struct<hash:int,l:int,r:int,l0:int,r0:int>>, claim array<int>")
+    none = "doc_id long, text_hash long, start long, end long"
+    turn = lambda found, most: {(r.a, r.now) for r in passages.next_to_try(pairs, spark.createDataFrame(found, none), most).collect()}
+    assert turn([], 1) == {(1, True), (2, True), (3, True), (4, False), (5, False), (6, True)}
+    assert turn([(9, 0, 55, 65), (9, 1, 0, 99), (8, 0, 0, 99)], 1) == {(1, True), (2, True), (3, True), (4, False), (5, False), (6, True)}
+    assert turn([(9, 0, 55, 66)], 1) == {(2, True), (3, True), (4, False), (6, True)}  # places 55 to 61 are covered
+    assert turn([(9, 0, 0, 75)], 4) == set()
+
+
 def lines_left(spark, texts):
     rows = list(enumerate(texts))
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
