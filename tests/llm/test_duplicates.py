@@ -370,6 +370,16 @@ def test_sources_are_tried_in_turns_until_their_places_are_in_a_passage(spark):
     assert turn([(9, 0, 0, 75)], 4) == set()
 
 
+def test_each_text_of_a_repeated_id_has_its_own_passages(spark):
+    """Two texts of id 2: one repeats id 1 at its end, one repeats id 0 behind other words; the third has nothing."""
+    other = words(60, 77)
+    own = [words(n, 80 + n) for n in (55, 70, 90)]
+    rows = [(0, other), (1, PASSAGE), (2, own[0] + " " + PASSAGE), (2, own[1] + " " + other + " " + own[2]), (2, own[2])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = corpus_pipeline.cut_passages(spark, df, "")
+    assert sorted((x.doc_id, x.text) for x in out.collect()) == sorted([(0, other), (1, PASSAGE), (2, own[0] + " "), (2, own[1] + "  " + own[2]), (2, own[2])])
+
+
 def lines_left(spark, texts):
     rows = list(enumerate(texts))
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
